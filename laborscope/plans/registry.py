@@ -1,0 +1,939 @@
+"""Every operator bound to the test tables, with the same query as SQL.
+
+``QUERIES`` maps a name to ``f(spark, folder) -> DataFrame``; ``SQL`` maps the
+name to a query over views of the same tables.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from laborscope import operators as op
+from laborscope.functions import (
+    MISSING_LABEL,
+    NULL_LABEL,
+    WHITESPACE,
+    blank_to_null,
+    fill_null,
+    has_text,
+    list_count,
+    list_size,
+    not_empty,
+    round2,
+    strip,
+    strip_spaces,
+    text_digest,
+    text_length,
+    to_list,
+)
+from laborscope.sources import (
+    collect_small,
+    csv_to_parquet,
+    per_file,
+    read_complete_parquet,
+    read_csv_text,
+    read_large_csv,
+    read_parquet,
+    sample_json,
+    text_schema,
+    work_folder,
+    write_csv,
+    write_parts,
+)
+from laborscope.streaming import (
+    incremental_keep_first,
+    incremental_mean_length_by,
+    incremental_mean_list_size,
+    incremental_token_counts,
+    run_append,
+    run_complete,
+    stream_dedup,
+    stream_length_totals_by,
+    stream_parquet,
+    stream_token_counts,
+)
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+WS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
+
+
+def query(sql: str) -> Callable[[Query], Query]:
+    """Register the function under its name, with its SQL."""
+
+    def add(function: Query) -> Query:
+        QUERIES[function.__name__] = function
+        SQL[function.__name__] = sql
+        return function
+
+    return add
+
+
+def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    return read_parquet(spark, f"{folder}/{name}.parquet", columns or None)
+
+
+# Orders with missing values: one priority stands for null, one for blanks,
+# and one status is an empty text.
+ORDERS_SQL = """(
+    SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_custkey, o_totalprice,
+           CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN NULL WHEN '5-LOW' THEN '  '
+                ELSE o_orderpriority END AS priority,
+           CASE o_orderstatus WHEN 'P' THEN '' ELSE o_orderstatus END AS status
+    FROM orders) o"""
+
+
+def orders(spark: SparkSession, folder: str) -> DataFrame:
+    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    return table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_key"),
+        "o_custkey",
+        "o_totalprice",
+        F.when(priority == "5-LOW", "  ")
+        .when(priority != "4-NOT SPECIFIED", priority)
+        .alias("priority"),
+        F.when(status == "P", "").otherwise(status).alias("status"),
+    )
+
+
+# Documents with their labels; most have none.
+LABELLED_SQL = """(
+    SELECT CAST(l.doc_id AS VARCHAR) AS label_key, d.lang, d.source, d.n_chars,
+           CAST(l.quality AS VARCHAR) AS quality, CAST(l.toxic AS VARCHAR) AS toxic
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) x"""
+
+
+def labelled(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels").select(
+        F.col("doc_id"),
+        F.col("doc_id").cast("string").alias("label_key"),
+        F.col("quality").cast("string").alias("quality"),
+        F.col("toxic").cast("string").alias("toxic"),
+    )
+    documents = table(spark, folder, "documents", "doc_id", "lang", "source", "n_chars")
+    joined = documents.join(labels, "doc_id", "left")
+    return joined.select("label_key", "lang", "source", "n_chars", "quality", "toxic")
+
+
+def keyed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with a short key for their text, so exact copies share a key."""
+    return table(spark, folder, "documents").withColumn("text_key", text_digest("text"))
+
+
+FIRST_DOCUMENTS_SQL = """(
+    SELECT * FROM documents
+    QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1) d"""
+
+TOKENS_SQL = f"""
+    SELECT trim(t, {WS}) AS token
+    FROM (SELECT unnest(string_split(text, ', ')) AS t FROM {{source}} WHERE trim(text, {WS}) <> '') s
+    WHERE trim(t, {WS}) <> ''"""
+
+
+# --- The ten queries -----------------------------------------------------
+
+
+@query("""
+    SELECT count(*) AS rows_before, count(DISTINCT text) AS rows_after,
+           count(*) - count(DISTINCT text) AS rows_removed
+    FROM documents""")
+def q1_dedup_summary(spark, folder):
+    documents = table(spark, folder, "documents", "text")
+    return op.dedup_summary(documents, text_digest("text"))
+
+
+@query(f"SELECT doc_id, lang, source, n_chars FROM {FIRST_DOCUMENTS_SQL}")
+def q1_dedup_rows(spark, folder):
+    wanted = ["doc_id", "lang", "source", "n_chars"]
+    first = op.first_by_key(keyed_documents(spark, folder), "text_key", wanted, "doc_id")
+    return first.select(*wanted)
+
+
+def _profile_sql(source: str, columns: list[str], measures: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {measures.format(c=c, blank=f'trim({c}, {WS})')} FROM {source}"
+        for c in columns
+    )
+
+
+@query(
+    _profile_sql(
+        ORDERS_SQL,
+        ["order_key", "priority", "status"],
+        "count(*) FILTER ({c} IS NULL) AS nulls, count(*) FILTER ({blank} = '') AS blanks",
+    )
+)
+def q2_null_profile(spark, folder):
+    return op.null_profile(orders(spark, folder), ["order_key", "priority", "status"])
+
+
+@query(
+    _profile_sql(
+        LABELLED_SQL,
+        ["label_key", "lang", "source", "quality", "toxic"],
+        "count(*) FILTER ({c} IS NULL) AS nulls_before, count(*) FILTER ({blank} = '') AS blanks_before,"
+        " 0::BIGINT AS nulls_after, count(*) FILTER (label_key IS NULL) AS rows_dropped",
+    )
+)
+def q2_treatment_report(spark, folder):
+    return op.treatment_report(labelled(spark, folder).drop("n_chars"), "label_key")
+
+
+@query(f"""
+    SELECT CASE WHEN trim(priority, {WS}) <> '' THEN priority ELSE '{MISSING_LABEL}' END AS priority,
+           CASE WHEN trim(status, {WS}) <> '' THEN status ELSE '{MISSING_LABEL}' END AS status,
+           count(*) AS n
+    FROM {ORDERS_SQL} GROUP BY 1, 2""")
+def q2_impute(spark, folder):
+    treated = op.impute(orders(spark, folder), "order_key", columns=["priority", "status"])
+    return treated.groupBy("priority", "status").agg(F.count("*").alias("n"))
+
+
+@query("""
+    SELECT count(*) AS rows, CAST(sum(len(string_split(text, ', '))) AS BIGINT) AS items
+    FROM documents""")
+def q3_list_summary(spark, folder):
+    return op.list_summary(table(spark, folder, "documents", "text"), "text")
+
+
+@query("""
+    SELECT doc_id, CAST(len(string_split(text, ', ')) AS BIGINT) AS items,
+           md5(array_to_string(string_split(text, ', '), '|')) AS joined
+    FROM documents""")
+def q3_list_rows(spark, folder):
+    lists = op.add_list(table(spark, folder, "documents", "doc_id", "text"), "text")
+    return lists.select(
+        "doc_id",
+        list_size("tokens").alias("items"),
+        F.md5(F.array_join("tokens", "|")).alias("joined"),
+    )
+
+
+@query("SELECT count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT'")
+def q4_filter(spark, folder):
+    first = op.first_by_key(
+        table(spark, folder, "orders"), "o_orderkey", ["o_orderpriority"], "o_orderkey"
+    )
+    return op.count_equal(first, "o_orderpriority", "1-URGENT")
+
+
+@query("""
+    SELECT count(*) AS n
+    FROM (SELECT * FROM orders
+          QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1)
+    WHERE o_orderpriority = '1-URGENT'""")
+def q4_filter_first_orders(spark, folder):
+    first = op.first_by_key(
+        table(spark, folder, "orders"),
+        "o_custkey",
+        ["o_orderpriority"],
+        ["o_orderdate", "o_orderkey"],
+    )
+    return op.count_equal(first, "o_orderpriority", "1-URGENT")
+
+
+@query("""
+    SELECT c_name, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey
+    GROUP BY c_name ORDER BY n DESC, c_name LIMIT 10""")
+def q5_top10(spark, folder):
+    first = op.first_by_key(
+        table(spark, folder, "orders"), "o_orderkey", ["o_custkey"], "o_orderkey"
+    ).withColumnRenamed("o_custkey", "c_custkey")
+    customers = table(spark, folder, "customer", "c_custkey", "c_name")
+    return op.labelled_ranking(first, customers, "c_custkey", "c_name").limit(10)
+
+
+@query(f"""
+    SELECT priority, count(*) AS n
+    FROM (SELECT * FROM {ORDERS_SQL}
+          QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(order_key AS BIGINT)) = 1)
+    WHERE trim(priority, {WS}) <> ''
+    GROUP BY priority ORDER BY n DESC, priority LIMIT 10""")
+def q5_top10_unique(spark, folder):
+    rows = orders(spark, folder)
+    values = op.unique_values(rows, "o_custkey", "priority", F.col("order_key").cast("long"))
+    return op.top_k(values, "priority", 10)
+
+
+@query("""
+    SELECT n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey
+    GROUP BY n_name ORDER BY n DESC, n_name LIMIT 10""")
+def q6_top10(spark, folder):
+    first = op.first_by_key(
+        table(spark, folder, "customer"), "c_custkey", ["c_nationkey"], "c_custkey"
+    ).withColumnRenamed("c_nationkey", "n_nationkey")
+    nations = table(spark, folder, "nation", "n_nationkey", "n_name")
+    return op.labelled_ranking(first, nations, "n_nationkey", "n_name").limit(10)
+
+
+MEAN_LENGTH_SQL = """
+    SELECT CAST(quality AS VARCHAR) AS quality, count(*) AS n,
+           round(sum(length(text)) / count(*), 2) AS mean_length
+    FROM documents JOIN labels USING (doc_id) WHERE text <> '' GROUP BY quality ORDER BY quality"""
+
+
+def quality_labels(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels", "doc_id", "quality")
+    return labels.withColumn("quality", F.col("quality").cast("string"))
+
+
+@query(MEAN_LENGTH_SQL)
+def q7_mean_length_by(spark, folder):
+    documents = table(spark, folder, "documents", "doc_id", "text")
+    return op.mean_length_by(
+        documents, quality_labels(spark, folder), "doc_id", "text", "quality", "doc_id"
+    )
+
+
+@query(f"""
+    SELECT level, count(*) AS n, round(sum(length(text)) / count(*), 2) AS mean_length
+    FROM conversations
+    JOIN (SELECT conv_id, CASE role WHEN 'system' THEN '  ' ELSE role END AS level
+          FROM conversations
+          QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1) USING (conv_id)
+    WHERE text <> '' AND trim(level, {WS}) <> '' GROUP BY level ORDER BY level""")
+def q7_mean_length_repeated(spark, folder):
+    """Repeated texts per key; a first row with a blank level hides its key."""
+    turns = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    role = F.col("role")
+    levels = turns.withColumn("level", F.when(role == "system", "  ").otherwise(role))
+    return op.mean_length_by(turns, levels, "conv_id", "text", "level", "turn")
+
+
+@query(f"""
+    SELECT level, count(*) AS n, CAST(sum(length(event_type)) AS BIGINT) AS total
+    FROM (SELECT event_type, CASE event_type WHEN 'error' THEN '  ' ELSE event_type END AS level
+          FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1)
+    WHERE trim(level, {WS}) <> '' GROUP BY level""")
+def q7_dedup_first(spark, folder):
+    """Deduplication comes before the filter on blank levels."""
+    kind = F.col("event_type")
+    events = table(spark, folder, "events").withColumn(
+        "level", F.when(kind == "error", "  ").otherwise(kind)
+    )
+    first = op.first_by_key(events, "user_id", ["event_type", "level"], ["ts", "event_id"])
+    return (
+        first.filter(has_text("level"))
+        .groupBy("level")
+        .agg(F.count("*").alias("n"), F.sum(text_length("event_type")).alias("total"))
+    )
+
+
+TOP_TOKENS_SQL = f"""
+    SELECT token, count(*) AS n FROM ({TOKENS_SQL.format(source=FIRST_DOCUMENTS_SQL)}) k
+    GROUP BY token ORDER BY n DESC, token LIMIT 20"""
+
+
+@query(TOP_TOKENS_SQL)
+def q8_top_tokens(spark, folder):
+    return op.top_tokens(keyed_documents(spark, folder), "text_key", "text", "doc_id", 20)
+
+
+@query("""
+    SELECT s_name, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+    GROUP BY s_name ORDER BY n DESC, s_name""")
+def q9_ranking(spark, folder):
+    lines = table(spark, folder, "lineitem", "l_suppkey").withColumnRenamed("l_suppkey", "s_suppkey")
+    suppliers = table(spark, folder, "supplier", "s_suppkey", "s_name")
+    return op.labelled_ranking(lines, suppliers, "s_suppkey", "s_name")
+
+
+@query("""
+    SELECT l_suppkey, count(*) AS n
+    FROM (SELECT l_suppkey FROM lineitem
+          QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                     ORDER BY l_shipdate, l_partkey, l_suppkey) = 1)
+    GROUP BY l_suppkey ORDER BY n DESC, l_suppkey""")
+def q9_ranking_unique(spark, folder):
+    order = ["l_shipdate", "l_partkey", "l_suppkey"]
+    lines = table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", *order)
+    first = op.keep_first(lines, ["l_orderkey", "l_linenumber"], order)
+    return op.ranking(first, "l_suppkey")
+
+
+MEAN_LIST_SQL = """
+    SELECT count(*) AS rows, count(*) FILTER (items > 0) AS rows_with_items,
+           round(sum(items) / count(*), 2) AS mean_items
+    FROM (SELECT coalesce(len(string_split(c.text, ', ')), 0) AS items
+          FROM documents d
+          LEFT JOIN (SELECT * FROM conversations
+                     QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1) c
+          ON c.conv_id = d.doc_id)"""
+
+
+@query(MEAN_LIST_SQL)
+def q10_mean_list_size(spark, folder):
+    documents = table(spark, folder, "documents", "doc_id").withColumnRenamed("doc_id", "conv_id")
+    turns = table(spark, folder, "conversations", "conv_id", "turn", "text")
+    return op.mean_list_size(documents, turns, "conv_id", "text", "turn")
+
+
+@query("""
+    SELECT lang, avg(len(string_split(c.text, ', '))) AS mean_items
+    FROM documents d JOIN conversations c ON c.conv_id = d.doc_id GROUP BY lang""")
+def q10b_mean_list_size_by(spark, folder):
+    documents = table(spark, folder, "documents", "doc_id", "lang")
+    turns = table(spark, folder, "conversations", "conv_id", "text")
+    return op.mean_list_size_by(
+        documents.withColumnRenamed("doc_id", "conv_id"), turns, "conv_id", "text", "lang", "conv_id"
+    )
+
+
+# --- Sources and sinks ---------------------------------------------------
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def sc1_csv_scan(spark, folder):
+    target = work_folder(spark, "csv")
+    write_csv(table(spark, folder, "customer"), target)
+    text = read_csv_text(spark, target)
+    return text.select(
+        F.col("c_custkey").cast("long").alias("c_custkey"),
+        "c_name",
+        F.col("c_nationkey").cast("int").alias("c_nationkey"),
+        F.col("c_acctbal").cast("double").alias("c_acctbal"),
+        "c_mktsegment",
+    )
+
+
+@query("""
+    SELECT c_mktsegment, count(*) AS n, round(sum(c_acctbal), 2) AS balance
+    FROM customer GROUP BY c_mktsegment""")
+def sc2_csv_inferred(spark, folder):
+    target = work_folder(spark, "csv")
+    write_csv(table(spark, folder, "customer"), target)
+    typed = read_csv_text(spark, target, infer_types=True)
+    return typed.groupBy("c_mktsegment").agg(
+        F.count("*").alias("n"), round2(F.sum("c_acctbal")).alias("balance")
+    )
+
+
+TEXTS_SQL = "SELECT doc_id, length(text) AS n_chars, sha256(text) AS text_key FROM documents"
+
+
+def _texts(df: DataFrame) -> DataFrame:
+    return df.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_length("text").alias("n_chars"),
+        text_digest("text").alias("text_key"),
+    )
+
+
+@query(TEXTS_SQL)
+def sc3_multiline_csv(spark, folder):
+    target = work_folder(spark, "csv")
+    write_csv(table(spark, folder, "documents", "doc_id", "text"), target)
+    return _texts(read_csv_text(spark, target, multiline=True, line_sep="\n"))
+
+
+@query(TEXTS_SQL)
+def sc3_multiline_csv_split(spark, folder):
+    target = work_folder(spark, "csv")
+    write_csv(table(spark, folder, "documents", "doc_id", "text"), target)
+    return _texts(read_large_csv(spark, target))
+
+
+@query("SELECT o_orderkey, o_orderpriority FROM orders")
+def sc4_parquet_projection(spark, folder):
+    return table(spark, folder, "orders", "o_orderkey", "o_orderpriority")
+
+
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def sc5_complete_parquet(spark, folder):
+    target = work_folder(spark, "parts")
+    write_parts(table(spark, folder, "conversations"), target)
+    return read_complete_parquet(spark, target, ["conv_id", "turn", "role", "text"])
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def sc6_batched_scan(spark, folder):
+    target = work_folder(spark, "parts")
+    events = table(spark, folder, "events", "event_id", "event_type")
+    write_parts(events, target)
+    stream = stream_parquet(spark, target, events.schema, files_per_trigger=100)
+    return run_complete(op.count_by(stream, "event_type"), work_folder(spark, "batched"))
+
+
+@query("""
+    SELECT count(*) AS rows, CAST(sum(len(string_split(text, ', '))) AS BIGINT) AS items
+    FROM documents""")
+def sc7_per_file(spark, folder):
+    target = work_folder(spark, "parts")
+    write_parts(table(spark, folder, "documents", "doc_id", "text"), target)
+    scan = spark.read.parquet(target)
+    files = per_file(scan, items=F.sum(list_count("text")))
+    return files.agg(F.sum("rows").alias("rows"), F.sum("items").alias("items"))
+
+
+@query("SELECT 'orders' AS name, count(*) AS n FROM orders")
+def sc8_located_table(spark, folder):
+    located = f"{folder.rstrip('/')}/orders.parquet"
+    return read_parquet(spark, located, ["o_orderkey"]).agg(
+        F.lit("orders").alias("name"), F.count("*").alias("n")
+    )
+
+
+@query("""
+    SELECT s_name, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+    GROUP BY s_name""")
+def sk1_csv_sink(spark, folder):
+    target = work_folder(spark, "result")
+    write_csv(q9_ranking(spark, folder), target)
+    written = read_csv_text(spark, target)
+    return written.select("s_name", F.col("n").cast("long").alias("n"))
+
+
+@query("""
+    SELECT to_json(list({'doc_id': doc_id, 'tokens': string_split(text, ', ')} ORDER BY doc_id)) AS json
+    FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 5)""")
+def sk2_json_sample(spark, folder):
+    lists = op.add_list(table(spark, folder, "documents", "doc_id", "text"), "text")
+    return sample_json(lists.select("doc_id", "tokens"), "doc_id")
+
+
+@query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
+def sk3_row_sample(spark, folder):
+    return op.first_rows(table(spark, folder, "orders"), "o_orderkey")
+
+
+@query(TEXTS_SQL)
+def sk4_csv_to_parquet(spark, folder):
+    source, target = work_folder(spark, "csv"), work_folder(spark, "parquet")
+    write_csv(table(spark, folder, "documents", "doc_id", "text"), source)
+    csv_to_parquet(spark, source, target, ["doc_id", "text"])
+    return _texts(read_complete_parquet(spark, target))
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def sk6_collect_small(spark, folder):
+    nations = table(spark, folder, "nation", "n_nationkey", "n_name")
+    return spark.createDataFrame(collect_small(nations), nations.schema)
+
+
+# --- Projections, filters and nulls --------------------------------------
+
+
+@query("SELECT l_orderkey, l_extendedprice * (1 - l_discount) AS net FROM lineitem")
+def pf1_project(spark, folder):
+    lines = table(spark, folder, "lineitem", "l_orderkey", "l_extendedprice", "l_discount")
+    return lines.select("l_orderkey", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"))
+
+
+@query("SELECT doc_id, length(text) AS n, length(text) > 1000 AS long_text FROM documents")
+def pf2_derive(spark, folder):
+    documents = table(spark, folder, "documents", "doc_id", "text")
+    lengths = documents.withColumn("n", text_length("text"))
+    return lengths.withColumn("long_text", F.col("n") > 1000).drop("text")
+
+
+@query("SELECT n_name AS search_country, n_nationkey AS id FROM nation")
+def pf3_rename(spark, folder):
+    nations = table(spark, folder, "nation", "n_name", "n_nationkey")
+    return nations.withColumnsRenamed({"n_name": "search_country", "n_nationkey": "id"})
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'")
+def pf4_equal(spark, folder):
+    rows = table(spark, folder, "orders", "o_orderkey", "o_orderpriority")
+    return rows.filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey")
+
+
+@query(f"SELECT order_key, priority FROM {ORDERS_SQL} WHERE trim(priority, {WS}) <> ''")
+def pf5_has_text(spark, folder):
+    return orders(spark, folder).filter(has_text("priority")).select("order_key", "priority")
+
+
+@query(f"SELECT priority, status, count(*) AS n FROM {ORDERS_SQL} WHERE priority <> '' AND status <> '' GROUP BY 1, 2")
+def pf6_not_empty(spark, folder):
+    rows = orders(spark, folder).filter(not_empty("priority") & not_empty("status"))
+    return rows.groupBy("priority", "status").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT label_key, source FROM {LABELLED_SQL} WHERE trim(label_key, {WS}) <> ''")
+def pf7_drop_missing_key(spark, folder):
+    rows = labelled(spark, folder)
+    return op.drop_missing_key(rows, "label_key").select("label_key", "source")
+
+
+@query(f"""
+    SELECT order_key, CASE WHEN trim(priority, {WS}) <> '' THEN priority END AS priority,
+           CASE WHEN trim(status, {WS}) <> '' THEN status END AS status
+    FROM {ORDERS_SQL}""")
+def pf8_blank_to_null(spark, folder):
+    rows = orders(spark, folder).select("order_key", "priority", "status")
+    return op.blanks_to_null(rows)
+
+
+@query(f"""
+    SELECT order_key, CASE WHEN trim(priority, {WS}) <> '' THEN priority ELSE '{MISSING_LABEL}' END AS priority
+    FROM {ORDERS_SQL}""")
+def pf9_impute(spark, folder):
+    return op.impute(orders(spark, folder).select("order_key", "priority"), "order_key")
+
+
+@query(f"SELECT coalesce(priority, '{NULL_LABEL}') AS priority, count(*) AS n FROM {ORDERS_SQL} GROUP BY 1")
+def pf10_impute_nulls(spark, folder):
+    return op.count_by(op.impute_nulls(orders(spark, folder), ["priority"]), "priority")
+
+
+@query(f"""
+    SELECT coalesce(priority, '') AS priority, coalesce(CAST(quality AS BIGINT), 0) AS quality
+    FROM {ORDERS_SQL} LEFT JOIN labels ON CAST(order_key AS BIGINT) = doc_id""")
+def pf11_fill_null(spark, folder):
+    rows = orders(spark, folder).withColumn("doc_id", F.col("order_key").cast("long"))
+    joined = rows.join(table(spark, folder, "labels", "doc_id", "quality"), "doc_id", "left")
+    return joined.select(
+        fill_null("priority", "").alias("priority"),
+        fill_null(F.col("quality").cast("long"), 0).alias("quality"),
+    )
+
+
+@query(f"""
+    SELECT order_key, CASE WHEN trim(priority, {WS}) <> '' THEN o_totalprice ELSE 0 END AS price
+    FROM {ORDERS_SQL}""")
+def pf12_conditional(spark, folder):
+    price = F.when(has_text("priority"), F.col("o_totalprice")).otherwise(0.0)
+    return orders(spark, folder).select("order_key", price.alias("price"))
+
+
+@query("""
+    SELECT CAST(o_orderkey AS VARCHAR) AS text_key, CAST(o_orderkey AS DOUBLE) AS double_key,
+           CAST(CAST(o_orderkey AS VARCHAR) AS BIGINT) AS long_key
+    FROM orders""")
+def pf13_cast(spark, folder):
+    key = F.col("o_orderkey")
+    return table(spark, folder, "orders", "o_orderkey").select(
+        key.cast("string").alias("text_key"),
+        key.cast("double").alias("double_key"),
+        key.cast("string").cast("long").alias("long_key"),
+    )
+
+
+# --- Deduplication and joins ---------------------------------------------
+
+
+@query("""
+    SELECT user_id, event_type, event_id FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1""")
+def dd1_keep_first(spark, folder):
+    events = table(spark, folder, "events", "user_id", "event_type", "event_id", "ts")
+    return op.keep_first(events, ["user_id", "event_type"], ["ts", "event_id"]).drop("ts")
+
+
+@query("""
+    SELECT quality, lang, n_chars FROM (
+        SELECT quality, lang, n_chars, doc_id FROM documents LEFT JOIN labels USING (doc_id)
+        QUALIFY row_number() OVER (PARTITION BY quality, lang ORDER BY doc_id) = 1)""")
+def dd1_keep_first_null_key(spark, folder):
+    """Null keys form one group."""
+    documents = table(spark, folder, "documents", "doc_id", "lang", "n_chars")
+    rows = documents.join(table(spark, folder, "labels", "doc_id", "quality"), "doc_id", "left")
+    return op.keep_first(rows, ["quality", "lang"], "doc_id").drop("doc_id")
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def dd2_keep_any(spark, folder):
+    events = table(spark, folder, "events", "user_id", "event_type", "event_id")
+    return op.keep_any(events, ["user_id", "event_type"]).select("user_id", "event_type")
+
+
+@query("""
+    SELECT CAST(sum(n) AS BIGINT) AS rows_before, count(*) AS rows_after,
+           CAST(sum(n) AS BIGINT) - count(*) AS rows_removed
+    FROM (SELECT quality, source, count(*) AS n
+          FROM documents LEFT JOIN labels USING (doc_id) GROUP BY quality, source)""")
+def dd3_dedup_summary_null_key(spark, folder):
+    return op.dedup_summary(labelled(spark, folder), ["quality", "source"])
+
+
+@query("""
+    SELECT user_id, event_id, event_type FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def dd5_keep_last(spark, folder):
+    events = table(spark, folder, "events", "user_id", "event_id", "event_type", "ts")
+    return op.keep_last(events, "user_id", ["ts", "event_id"]).drop("ts")
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_partkey, o_orderpriority
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def jn1_inner(spark, folder):
+    lines = table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+    rows = table(spark, folder, "orders", "o_orderkey", "o_orderpriority")
+    return op.join_on_key(lines, rows.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey")
+
+
+@query("""
+    SELECT doc_id, lang, coalesce(quality, 0) AS quality
+    FROM documents LEFT JOIN labels USING (doc_id)""")
+def jn2_left_fill(spark, folder):
+    documents = table(spark, folder, "documents", "doc_id", "lang")
+    return op.lookup(documents, table(spark, folder, "labels", "doc_id", "quality"), "doc_id", {"quality": 0})
+
+
+@query("""
+    SELECT n_name, count(*) AS n, round(sum(c_acctbal), 2) AS balance
+    FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
+def jn3_small_side(spark, folder):
+    """The small side is broadcast when its size is below Spark's threshold."""
+    customers = table(spark, folder, "customer", "c_nationkey", "c_acctbal")
+    nations = table(spark, folder, "nation", "n_nationkey", "n_name")
+    joined = op.join_on_key(customers.withColumnRenamed("c_nationkey", "n_nationkey"), nations, "n_nationkey")
+    return joined.groupBy("n_name").agg(
+        F.count("*").alias("n"), round2(F.sum("c_acctbal")).alias("balance")
+    )
+
+
+@query("""
+    SELECT a.quality, a.documents, b.chars
+    FROM (SELECT quality, count(*) AS documents
+          FROM documents LEFT JOIN labels USING (doc_id) GROUP BY quality) a
+    JOIN (SELECT quality, CAST(sum(n_chars) AS BIGINT) AS chars
+          FROM documents LEFT JOIN labels USING (doc_id) GROUP BY quality) b
+    ON a.quality IS NOT DISTINCT FROM b.quality""")
+def jn4_null_safe(spark, folder):
+    rows = labelled(spark, folder).withColumn("quality", F.col("quality").cast("int"))
+    counts = op.count_by(rows, "quality", "documents")
+    chars = rows.groupBy("quality").agg(F.sum("n_chars").alias("chars"))
+    return op.join_null_safe(counts, chars, "quality")
+
+
+# --- Aggregations, sorting and unions ------------------------------------
+
+
+@query("SELECT count(*) AS n FROM lineitem")
+def ag1_count(spark, folder):
+    return table(spark, folder, "lineitem", "l_orderkey").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT priority, count(*) AS n FROM {ORDERS_SQL} GROUP BY priority")
+def ag2_count_by(spark, folder):
+    return op.count_by(orders(spark, folder), "priority")
+
+
+@query(f"SELECT lang, count(quality) AS total FROM {LABELLED_SQL} GROUP BY lang ORDER BY total DESC, lang")
+def ag3_count_present(spark, folder):
+    return op.ranking(labelled(spark, folder), "lang", "total", of="quality")
+
+
+@query("""
+    SELECT lang, count(*) AS n, round(sum(length(text)) / count(*), 2) AS mean_length
+    FROM documents GROUP BY lang ORDER BY lang""")
+def ag4_count_and_mean(spark, folder):
+    documents = table(spark, folder, "documents", "lang", "text")
+    lengths = documents.groupBy("lang").agg(
+        F.count("*").alias("_n"), F.sum(text_length("text")).alias("_total")
+    )
+    return op.mean_from_totals(lengths, "lang")
+
+
+@query("SELECT source, avg(n_chars) AS mean FROM documents GROUP BY source")
+def ag5_mean_by(spark, folder):
+    return op.mean_by(table(spark, folder, "documents", "source", "n_chars"), "source", "n_chars")
+
+
+@query("SELECT CAST(sum(len(string_split(text, ', '))) AS BIGINT) AS items FROM conversations")
+def ag6_sum_of_sizes(spark, folder):
+    turns = table(spark, folder, "conversations", "text")
+    return turns.agg(F.sum(list_size(to_list("text"))).alias("items"))
+
+
+@query("""
+    SELECT count(*) FILTER (len(string_split(text, ', ')) > 1) AS several, count(*) AS rows,
+           round(avg(len(string_split(text, ', '))), 2) AS mean
+    FROM conversations""")
+def ag7_conditional_count(spark, folder):
+    sizes = table(spark, folder, "conversations", "text").select(list_count("text").alias("n"))
+    return sizes.agg(
+        F.count_if(F.col("n") > 1).alias("several"),
+        F.count("*").alias("rows"),
+        round2(F.avg("n")).alias("mean"),
+    )
+
+
+@query("SELECT count(*) AS rows, round(avg(l_quantity), 2) AS mean FROM lineitem WHERE l_returnflag = 'none'")
+def ag8_mean_of_nothing(spark, folder):
+    """The mean over no rows is null."""
+    lines = table(spark, folder, "lineitem", "l_quantity", "l_returnflag")
+    nothing = lines.filter(F.col("l_returnflag") == "none")
+    return nothing.agg(F.count("*").alias("rows"), round2(F.avg("l_quantity")).alias("mean"))
+
+
+@query("""
+    SELECT count(*) AS n, round(avg(x), 8) AS mean
+    FROM (SELECT CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)""")
+def ag13_array_mean(spark, folder):
+    means = op.array_mean(table(spark, folder, "embeddings", "embedding"), "embedding")
+    return means.withColumn("mean", F.round("mean", 8))
+
+
+@query("""
+    SELECT source, count(*) AS n FROM documents
+    GROUP BY source ORDER BY n DESC, source LIMIT 3""")
+def so2_top_k(spark, folder):
+    return op.top_k(table(spark, folder, "documents", "source"), "source", 3)
+
+
+@query("SELECT lang, count(*) AS n FROM documents GROUP BY lang ORDER BY lang")
+def so4_sort_by_key(spark, folder):
+    return op.count_by(table(spark, folder, "documents", "lang"), "lang").orderBy("lang")
+
+
+@query("""
+    SELECT p_partkey, count(*) AS n FROM (SELECT l_partkey AS p_partkey FROM lineitem)
+    GROUP BY p_partkey ORDER BY n DESC, p_partkey""")
+def so5_full_ranking(spark, folder):
+    lines = table(spark, folder, "lineitem", "l_partkey")
+    return op.ranking(lines.withColumnRenamed("l_partkey", "p_partkey"), "p_partkey")
+
+
+@query("SELECT event_id, user_id, event_type FROM events ORDER BY ts, event_id LIMIT 5")
+def so6_first_rows(spark, folder):
+    events = table(spark, folder, "events", "event_id", "user_id", "event_type", "ts")
+    return op.first_rows(events, ["ts", "event_id"]).drop("ts")
+
+
+@query("""
+    SELECT c_name AS name, c_nationkey AS nation FROM customer
+    UNION ALL SELECT s_name, s_nationkey FROM supplier""")
+def st1_concatenate(spark, folder):
+    customers = table(spark, folder, "customer", "c_name", "c_nationkey")
+    suppliers = table(spark, folder, "supplier", "s_name", "s_nationkey")
+    return customers.toDF("name", "nation").unionByName(suppliers.toDF("name", "nation"))
+
+
+# --- Functions -----------------------------------------------------------
+
+
+@query("""
+    SELECT conv_id, turn, array_to_string(string_split(text, ', '), '|') AS tokens
+    FROM conversations""")
+def fn1_split(spark, folder):
+    turns = table(spark, folder, "conversations", "conv_id", "turn", "text")
+    return turns.select("conv_id", "turn", F.array_join(to_list("text"), "|").alias("tokens"))
+
+
+@query("""
+    SELECT conv_id, turn, array_to_string(string_split(text, ','), '|') AS tokens
+    FROM conversations""")
+def fn2_split_comma(spark, folder):
+    turns = table(spark, folder, "conversations", "conv_id", "turn", "text")
+    return turns.select("conv_id", "turn", F.array_join(to_list("text", ","), "|").alias("tokens"))
+
+
+@query("SELECT doc_id, CAST(len(string_split(text, ', ')) AS BIGINT) AS n FROM documents")
+def fn3_list_size(spark, folder):
+    documents = table(spark, folder, "documents", "doc_id", "text")
+    return documents.select("doc_id", list_size(to_list("text")).alias("n"))
+
+
+@query("SELECT page_id, CAST(len(string_split(html, '</')) AS BIGINT) AS n FROM pages")
+def fn4_list_count(spark, folder):
+    pages = table(spark, folder, "pages", "page_id", "html")
+    return pages.select("page_id", list_count("html", "</").alias("n"))
+
+
+@query(f"""
+    SELECT token, count(*) AS n FROM ({TOKENS_SQL.format(source="documents")}) k
+    GROUP BY token ORDER BY n DESC, token""")
+def fn5_explode(spark, folder):
+    return op.token_ranking(table(spark, folder, "documents", "text"), "text")
+
+
+@query(f"""
+    SELECT page_id, length(trim(x, {WS})) AS stripped, length(trim(x)) AS spaces_stripped
+    FROM (SELECT page_id, unnest(string_split(html, '>')) AS x FROM pages)""")
+def fn6_strip(spark, folder):
+    pages = table(spark, folder, "pages", "page_id", "html")
+    parts = pages.select("page_id", F.explode(to_list("html", ">")).alias("x"))
+    return parts.select(
+        "page_id",
+        text_length(strip("x")).alias("stripped"),
+        text_length(strip_spaces("x")).alias("spaces_stripped"),
+    )
+
+
+@query("SELECT page_id, length(html) AS n FROM pages")
+def fn8_length(spark, folder):
+    pages = table(spark, folder, "pages", "page_id", "html")
+    return pages.select("page_id", text_length("html").alias("n"))
+
+
+@query("SELECT p_type, round(sum(p_size) / count(*), 2) AS mean_size FROM part GROUP BY p_type")
+def fn9_round(spark, folder):
+    parts = table(spark, folder, "part", "p_type", "p_size")
+    return parts.groupBy("p_type").agg(round2(F.sum("p_size") / F.count("*")).alias("mean_size"))
+
+
+@query("""
+    SELECT lang, count(*) - count(DISTINCT text) AS copies FROM documents GROUP BY lang""")
+def fn10_subtract(spark, folder):
+    rows = keyed_documents(spark, folder).groupBy("lang", "text_key").agg(F.count("*").alias("n"))
+    return rows.groupBy("lang").agg((F.sum("n") - F.count("*")).alias("copies"))
+
+
+# --- Streaming -----------------------------------------------------------
+
+
+def document_stream(spark: SparkSession, folder: str) -> DataFrame:
+    stream = stream_parquet(spark, f"{folder}/documents.parquet")
+    return stream.withColumn("text_key", text_digest("text"))
+
+
+@query("SELECT DISTINCT sha256(text) AS text_key FROM documents")
+def in1_stream_dedup(spark, folder):
+    unique = stream_dedup(document_stream(spark, folder), ["text_key"], "source_order")
+    return run_append(unique.select("text_key"), work_folder(spark, "stream-dedup"))
+
+
+@query(f"SELECT doc_id, lang, source FROM {FIRST_DOCUMENTS_SQL}")
+def in1_incremental_keep_first(spark, folder):
+    wanted = ["doc_id", "lang", "source"]
+    stream = document_stream(spark, folder)
+    target = work_folder(spark, "keep-first")
+    return incremental_keep_first(stream, "text_key", wanted, "doc_id", target).select(*wanted)
+
+
+@query(TOP_TOKENS_SQL)
+def in2_stream_token_counts(spark, folder):
+    stream = document_stream(spark, folder)
+    counts = stream_token_counts(stream, "text_key", "text", spread_by="source_order")
+    result = run_complete(counts, work_folder(spark, "stream-tokens"))
+    return op.rank_counts(result, "token").limit(20)
+
+
+@query(TOP_TOKENS_SQL)
+def in2_incremental_token_counts(spark, folder):
+    stream = document_stream(spark, folder)
+    target = work_folder(spark, "tokens")
+    counts = incremental_token_counts(stream, "text_key", "text", "doc_id", target)
+    return op.rank_counts(counts, "token").limit(20)
+
+
+@query(MEAN_LENGTH_SQL)
+def in3_stream_mean_length_by(spark, folder):
+    labels = op.first_by_key(quality_labels(spark, folder), "doc_id", ["quality"], "doc_id")
+    stream = stream_parquet(spark, f"{folder}/documents.parquet")
+    totals = stream_length_totals_by(stream, labels, "doc_id", "text", "quality")
+    return op.mean_from_totals(run_complete(totals, work_folder(spark, "stream-lengths")), "quality")
+
+
+@query(MEAN_LENGTH_SQL)
+def in3_incremental_mean_length_by(spark, folder):
+    stream = stream_parquet(spark, f"{folder}/documents.parquet")
+    labels = quality_labels(spark, folder)
+    target = work_folder(spark, "lengths")
+    return incremental_mean_length_by(stream, labels, "doc_id", "text", "quality", "doc_id", target)
+
+
+@query(MEAN_LIST_SQL)
+def in4_incremental_mean_list_size(spark, folder):
+    documents = table(spark, folder, "documents", "doc_id").withColumnRenamed("doc_id", "conv_id")
+    turns = stream_parquet(spark, f"{folder}/conversations.parquet")
+    target = work_folder(spark, "lists")
+    return incremental_mean_list_size(documents, turns, "conv_id", "text", "turn", target)
