@@ -35,7 +35,7 @@ class JobDataset:
     def path(self, name: str) -> str:
         return f"{self.folder.rstrip('/')}/{name}"
 
-    def _read(self, name: str, columns: Sequence[str] | None, ordered: bool) -> DataFrame:
+    def read(self, name: str, columns: Sequence[str] | None = None, ordered: bool = False) -> DataFrame:
         if name.endswith(".csv"):
             return read_csv_text(
                 self.spark, self.path(name), columns, missing="blank", source_order=ordered
@@ -45,10 +45,10 @@ class JobDataset:
     def postings(self, *columns: str, ordered: bool = True) -> DataFrame:
         """All columns, or the key and the given ones."""
         wanted = list(dict.fromkeys([KEY, *columns])) if columns else None
-        return self._read(self.postings_name, wanted, ordered)
+        return self.read(self.postings_name, wanted, ordered)
 
     def skills(self, ordered: bool = True) -> DataFrame:
-        return self._read(self.skills_name, [KEY, "job_skills"], ordered)
+        return self.read(self.skills_name, [KEY, "job_skills"], ordered)
 
     def summary(self) -> DataFrame:
         columns = [KEY, "job_summary"]

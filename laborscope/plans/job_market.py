@@ -179,7 +179,8 @@ QUERIES: dict[int, Callable[[JobDataset], Report]] = {
 def labelled_postings(data: JobDataset) -> DataFrame:
     """Variant of 2: any row per link, nulls of two columns labelled."""
     unique = keep_any(data.postings(ordered=False), [KEY])
-    return impute_nulls(unique, ["company", "job_location"])
+    labelled = [c for c in ("company", "job_location") if c in unique.columns]
+    return impute_nulls(unique, labelled)
 
 
 def skills_by_type(data: JobDataset, separator: str = ",") -> DataFrame:
