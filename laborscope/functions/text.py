@@ -20,9 +20,17 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _printable(c: Column) -> Column:
+    """True if the first byte is a visible ASCII character; one byte comparison."""
+    return (c >= "!") & (c < "\x7f")
+
+
 def strip(c: Column | str) -> Column:
     """Remove Unicode whitespace at both ends; Spark's plain ``trim`` removes spaces only."""
-    return F.trim(as_column(c), F.lit(WHITESPACE))
+    text = as_column(c)
+    # Trimming with 29 characters is slow, and most texts need none.
+    clean = _printable(text) & _printable(F.substring(text, -1, 1))
+    return F.when(clean, text).otherwise(F.trim(text, F.lit(WHITESPACE)))
 
 
 def strip_spaces(c: Column | str) -> Column:
@@ -30,14 +38,15 @@ def strip_spaces(c: Column | str) -> Column:
     return F.trim(as_column(c))
 
 
-def is_blank(c: Column | str) -> Column:
-    """True for text made of whitespace only, null for null."""
-    return strip(c) == ""
-
-
 def has_text(c: Column | str) -> Column:
     """Filter condition: neither null nor blank. The value itself stays untrimmed."""
-    return strip(c) != ""
+    text = as_column(c)
+    return _printable(text) | (F.ltrim(text, F.lit(WHITESPACE)) != "")
+
+
+def is_blank(c: Column | str) -> Column:
+    """True for text made of whitespace only, null for null."""
+    return ~has_text(c)
 
 
 def is_missing(c: Column | str) -> Column:

@@ -57,7 +57,7 @@ def tokens(
 ) -> DataFrame:
     """One row per list item, stripped, empty items left out."""
     items = df.select(F.explode(to_list(text, separator)).alias(name))
-    return items.select(strip(name).alias(name)).filter(F.col(name) != "")
+    return items.filter(has_text(name)).select(strip(name).alias(name))
 
 
 def token_ranking(
