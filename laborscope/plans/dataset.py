@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from laborscope.sources import (
     read_complete_parquet,
     read_csv_text,
-    read_large_csv,
+    read_multiline_csv,
     read_parquet,
 )
 
@@ -55,5 +55,5 @@ class JobDataset:
         if self.prepared_summary:
             return read_complete_parquet(self.spark, self.prepared_summary, columns, parts="part*.parquet")
         if self.summary_name.endswith(".csv"):
-            return read_large_csv(self.spark, self.path(self.summary_name), columns, missing="blank")
+            return read_multiline_csv(self.spark, self.path(self.summary_name), columns, missing="blank")
         return read_parquet(self.spark, self.path(self.summary_name), columns)

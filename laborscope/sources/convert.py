@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from laborscope.sources import storage
 from laborscope.sources.files import PART_GLOB, read_csv_text
-from laborscope.sources.large_csv import read_large_csv
+from laborscope.sources.large_csv import SPLIT_ABOVE, read_multiline_csv
 
 # Fixed values
 ROWS_PER_PART = 20_000
@@ -33,14 +33,13 @@ def csv_to_parquet(
     columns: Sequence[str] | None = None,
     rows_per_part: int = ROWS_PER_PART,
     *,
-    splittable: bool = True,
+    split_above: int = SPLIT_ABOVE,
 ) -> tuple[int, int]:
     """Convert a multi-line CSV to Parquet parts; returns ``(parts, rows)``.
 
     Refuses an existing target and a source without rows. The completion
-    marker is written last and records source, parts and rows. ``splittable``
-    reads each file with many tasks and expects RFC 4180 quoting; without it
-    one task reads a file.
+    marker is written last and records source, parts and rows. Files above
+    ``split_above`` bytes are read by many tasks.
     """
     if rows_per_part < 1:
         raise ValueError("rows_per_part must be at least 1")
@@ -48,10 +47,7 @@ def csv_to_parquet(
         raise FileExistsError(f"{target} already exists")
     if read_csv_text(spark, source, columns, multiline=True).isEmpty():
         raise ValueError(f"{source} has no data rows")
-    if splittable:
-        frame = read_large_csv(spark, source, columns, missing="blank")
-    else:
-        frame = read_csv_text(spark, source, columns, multiline=True, missing="blank")
+    frame = read_multiline_csv(spark, source, columns, missing="blank", split_above=split_above)
     rows = write_parts(frame, target, rows_per_part)
     folder = target.rstrip("/")
     parts = storage.matches(spark, f"{folder}/{PART_GLOB}")

@@ -1,11 +1,12 @@
-"""Multi-line CSV read by many tasks.
+"""Multi-line CSV, with big files read by many tasks.
 
 Spark's ``multiLine`` option gives each file to one task, because a block
-alone cannot tell whether a line break is quoted. Here the quotes per block
-are counted first; their running sum says for every block whether it begins
-inside a quoted field. The lines are then joined to records.
+alone cannot tell whether a line break is quoted. For big files the quotes per
+block are counted first; their running sum says for every block whether it
+begins inside a quoted field. The lines are then joined to records. That takes
+about ten times the work, so smaller files stay with one task each.
 
-The files must follow RFC 4180: fields with quotes or line breaks are quoted
+Split files must follow RFC 4180: fields with quotes or line breaks are quoted
 and inner quotes doubled.
 """
 
@@ -23,8 +24,8 @@ from laborscope.sources.files import (
     text_schema,
 )
 
-# Stands for the last record begun in a block, which later blocks may continue.
-_LAST = -1
+# Files above this size are split.
+SPLIT_ABOVE = 1024 * 1024 * 1024
 
 
 def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -40,7 +41,7 @@ def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def _blocks(lines: DataFrame) -> DataFrame:
-    """Per block: does it begin inside quotes, and where did its open record begin?"""
+    """Per block: does it begin inside a record, up to which line, begun in which block?"""
     totals = lines.groupBy("file", "block").agg(
         F.sum("odd").alias("odds"),
         F.min(F.when(F.col("odd") == 1, F.col("line"))).alias("first_odd"),
@@ -49,48 +50,44 @@ def _blocks(lines: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    inside = F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2
-    # A block that begins inside quotes begins a record after its first odd line.
-    begins = (F.col("inside") == 0) | (F.col("first_odd") < F.col("last_line"))
+    inside = F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2 == 1
+    # A block that begins inside a record begins its own after its first odd line.
+    begins = ~F.col("inside") | (F.col("first_odd") < F.col("last_line"))
     owner = F.max(F.when(begins, F.col("block"))).over(earlier)
     return totals.withColumn("inside", inside).select(
-        "file", "block", "inside", owner.alias("owner")
+        "file", "block", "inside", "first_odd", owner.alias("owner")
     )
 
 
 def _records(lines: DataFrame) -> DataFrame:
     """``file, block, line, header, text``: one row per record, at its first line."""
-    in_block = Window.partitionBy("file", "block")
-    earlier = in_block.orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    so_far = in_block.orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    quotes_before = F.coalesce(F.sum("odd").over(earlier), F.lit(0))
-    placed = (
-        lines.join(_blocks(lines), ["file", "block"])
-        .withColumn("begins", (F.col("inside") + quotes_before) % 2 == 0)
-        .withColumn("start", F.when(F.col("begins"), F.col("line")))
-        .withColumn("record", F.last("start", ignorenulls=True).over(so_far))
-        .withColumn("last_start", F.max("start").over(in_block))
-        .withColumn("first_line", F.min("line").over(in_block))
+    ends_earlier = F.col("inside") & (
+        F.col("first_odd").isNull() | (F.col("line") <= F.col("first_odd"))
     )
-    continued = F.col("record").isNull()
-    last = continued | (F.col("record") == F.col("last_start"))
-    keyed = placed.select(
-        "file",
-        F.when(continued, F.col("owner")).otherwise(F.col("block")).alias("owner"),
-        F.when(last, F.lit(_LAST)).otherwise(F.col("record")).alias("record"),
-        F.struct("block", "line", "value").alias("piece"),
-        ((F.col("block") == 0) & (F.col("line") == F.col("first_line"))).alias("header"),
+    # Every line goes to the block its record begins in, so one shuffle
+    # brings all lines of a record together.
+    home = F.when(ends_earlier, F.col("owner")).otherwise(F.col("block"))
+    placed = lines.join(_blocks(lines), ["file", "block"]).select(
+        "file", home.alias("home"), "block", "line", "odd", "value"
     )
-    pieces = F.sort_array(F.collect_list("piece"))
+    in_order = Window.partitionBy("file", "home").orderBy("block", "line")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = (
+        placed.withColumn("quotes", F.sum("odd").over(earlier))
+        .withColumn("begins", F.coalesce(F.col("quotes"), F.lit(0)) % 2 == 0)
+        .withColumn("record", F.count_if("begins").over(so_far))
+    )
+    pieces = F.sort_array(F.collect_list(F.struct("block", "line", "value")))
     text = F.concat_ws("\n", F.transform("pieces", lambda p: p["value"]))
     return (
-        keyed.groupBy("file", "owner", "record")
-        .agg(pieces.alias("pieces"), F.bool_or("header").alias("header"))
+        numbered.groupBy("file", "home", "record")
+        .agg(pieces.alias("pieces"))
         .select(
             "file",
             F.col("pieces")[0]["block"].alias("block"),
             F.col("pieces")[0]["line"].alias("line"),
-            "header",
+            ((F.col("home") == 0) & (F.col("record") == 1)).alias("header"),
             F.regexp_replace(text, "\r$", "").alias("text"),
         )
     )
@@ -118,3 +115,22 @@ def read_large_csv(
     if source_order:
         selected.append(F.struct("file", "block", "line").alias(SOURCE_ORDER))
     return parsed.select(*selected)
+
+
+def read_multiline_csv(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] | None = None,
+    *,
+    missing: str = "distinct",
+    source_order: bool = False,
+    split_above: int = SPLIT_ABOVE,
+) -> DataFrame:
+    """Scan multi-line CSV; files are split if the largest exceeds ``split_above`` bytes."""
+    sizes = spark.read.format("binaryFile").load(path).select("length")
+    largest = sizes.agg(F.max("length")).first()[0] or 0
+    if largest > split_above:
+        return read_large_csv(spark, path, columns, missing=missing, source_order=source_order)
+    return read_csv_text(
+        spark, path, columns, multiline=True, missing=missing, source_order=source_order
+    )
