@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from laborscope.plans import QUERIES, JobDataset, run_query
 from laborscope.session import size_shuffles
 from laborscope.sources import csv_to_parquet
+from laborscope.sources.storage import SUCCESS_MARKER, exists
 
 
 def main() -> None:
@@ -24,6 +26,8 @@ def main() -> None:
     run.add_argument("--summary", default="summary")
     run.add_argument("--prepared-summary", help="converted Parquet folder of the summaries")
 
+    run.add_argument("--unique", help="folder for postings deduplicated once; reused if there")
+
     convert = commands.add_parser("convert", help="convert a multi-line CSV to Parquet")
     convert.add_argument("source")
     convert.add_argument("target")
@@ -47,6 +51,11 @@ def main() -> None:
         options.summary,
         options.prepared_summary,
     )
+    if options.unique:
+        if exists(spark, f"{options.unique.rstrip('/')}/{SUCCESS_MARKER}"):
+            data = replace(data, unique_folder=options.unique)
+        else:
+            data = data.with_unique_postings(options.unique)
     for number in options.queries:
         seconds = run_query(number, data, options.output)
         print(f"query {number}: {seconds:.2f} s")

@@ -8,6 +8,7 @@ from laborscope import operators as op
 from laborscope.catalog.base import LABELLED_SQL, ORDERS_SQL, labelled, orders, query, table
 from laborscope.functions import list_count, list_size, round2, text_length, to_list
 
+
 @query("SELECT count(*) AS n FROM lineitem")
 def ag1_count(spark, folder):
     return table(spark, folder, "lineitem", "l_orderkey").agg(F.count("*").alias("n"))

@@ -15,6 +15,7 @@ from laborscope.functions import (
     text_length,
 )
 
+
 @query("SELECT l_orderkey, l_extendedprice * (1 - l_discount) AS net FROM lineitem")
 def pf1_project(spark, folder):
     lines = table(spark, folder, "lineitem", "l_orderkey", "l_extendedprice", "l_discount")
@@ -45,7 +46,9 @@ def pf5_has_text(spark, folder):
     return orders(spark, folder).filter(has_text("priority")).select("order_key", "priority")
 
 
-@query(f"SELECT priority, status, count(*) AS n FROM {ORDERS_SQL} WHERE priority <> '' AND status <> '' GROUP BY 1, 2")
+@query(f"""
+    SELECT priority, status, count(*) AS n FROM {ORDERS_SQL}
+    WHERE priority <> '' AND status <> '' GROUP BY 1, 2""")
 def pf6_not_empty(spark, folder):
     rows = orders(spark, folder).filter(not_empty("priority") & not_empty("status"))
     return rows.groupBy("priority", "status").agg(F.count("*").alias("n"))

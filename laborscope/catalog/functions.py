@@ -16,6 +16,7 @@ from laborscope.functions import (
     to_list,
 )
 
+
 @query("""
     SELECT conv_id, turn, array_to_string(string_split(text, ', '), '|') AS tokens
     FROM conversations""")

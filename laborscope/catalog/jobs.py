@@ -71,7 +71,10 @@ def _postings(spark: SparkSession, folder: str) -> DataFrame:
             F.when(priority == "5-LOW", "  ")
             .when(priority != "4-NOT SPECIFIED", priority)
             .alias("job_level"),
-            F.when(flag == "R", "Remote").when(flag == "A", "remote").otherwise("Onsite").alias("job_type"),
+            F.when(flag == "R", "Remote")
+            .when(flag == "A", "remote")
+            .otherwise("Onsite")
+            .alias("job_type"),
         )
     )
 
@@ -85,7 +88,11 @@ def _skills(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _summary(spark: SparkSession, folder: str) -> DataFrame:
-    sources = [("documents", "doc_id", "text"), ("conversations", "conv_id", "text"), ("pages", "page_id", "html")]
+    sources = [
+        ("documents", "doc_id", "text"),
+        ("conversations", "conv_id", "text"),
+        ("pages", "page_id", "html"),
+    ]
     parts = [
         table(spark, folder, name, key, text).select(_link(key), F.col(text).alias("job_summary"))
         for name, key, text in sources

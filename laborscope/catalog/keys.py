@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from laborscope import operators as op
-from laborscope.catalog.base import labelled, orders, query, table
+from laborscope.catalog.base import labelled, query, table
 from laborscope.functions import round2
 
+
 @query("""
     SELECT user_id, event_type, event_id FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1""")

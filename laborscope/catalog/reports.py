@@ -22,6 +22,7 @@ from laborscope.catalog.base import (
 )
 from laborscope.functions import MISSING_LABEL, has_text, list_size, text_digest, text_length
 
+
 @query("""
     SELECT count(*) AS rows_before, count(DISTINCT text) AS rows_after,
            count(*) - count(DISTINCT text) AS rows_removed

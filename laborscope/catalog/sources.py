@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laborscope import operators as op
-from laborscope.catalog.base import orders, query, table
+from laborscope.catalog.base import query, table
 from laborscope.catalog.reports import q9_ranking
 from laborscope.functions import list_count, round2, text_digest, text_length
 from laborscope.plans import JobDataset
@@ -24,6 +24,7 @@ from laborscope.sources import (
 )
 from laborscope.streaming import run_complete, stream_parquet
 
+
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def sc1_csv_scan(spark, folder):
     target = work_folder(spark, "csv")

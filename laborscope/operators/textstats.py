@@ -100,10 +100,10 @@ def first_levels(levels: DataFrame, key: str, level: str, order: Keys) -> DataFr
 
 
 def length_totals_by(
-    texts: DataFrame, levels: DataFrame, key: str, text: str, level: str, order: Keys
+    texts: DataFrame, levels: DataFrame, key: str, text: str, level: str
 ) -> DataFrame:
-    """``level, _n, _total``: mergeable sums behind :func:`mean_length_by`."""
-    joined = length_totals(texts, key, text).join(first_levels(levels, key, level, order), key)
+    """``level, _n, _total``: mergeable sums; ``levels`` has one row per key."""
+    joined = length_totals(texts, key, text).join(levels, key)
     return joined.groupBy(level).agg(F.sum("_n").alias("_n"), F.sum("_total").alias("_total"))
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from laborscope.operators import keep_first
 from laborscope.sources import (
+    SOURCE_ORDER,
     read_complete_parquet,
     read_csv_text,
     read_multiline_csv,
@@ -22,7 +24,8 @@ class JobDataset:
     """Tables below one folder or URI; names ending in ``.csv`` are read as CSV.
 
     ``prepared_summary`` names a converted Parquet folder for the long texts,
-    which is read only when its conversion finished.
+    which is read only when its conversion finished. ``unique_folder`` names
+    postings that :meth:`with_unique_postings` deduplicated before.
     """
 
     spark: SparkSession
@@ -31,6 +34,7 @@ class JobDataset:
     skills_name: str = "skills"
     summary_name: str = "summary"
     prepared_summary: str | None = None
+    unique_folder: str | None = None
 
     def path(self, name: str) -> str:
         return f"{self.folder.rstrip('/')}/{name}"
@@ -47,6 +51,18 @@ class JobDataset:
         wanted = list(dict.fromkeys([KEY, *columns])) if columns else None
         return self.read(self.postings_name, wanted, ordered)
 
+    def unique_postings(self, *columns: str) -> DataFrame:
+        """The first posting per link, with the key, the given columns and the source order."""
+        if self.unique_folder is None:
+            return keep_first(self.postings(*columns), KEY, SOURCE_ORDER)
+        wanted = list(dict.fromkeys([KEY, *columns, SOURCE_ORDER]))
+        return read_complete_parquet(self.spark, self.unique_folder, wanted if columns else None)
+
+    def with_unique_postings(self, folder: str) -> JobDataset:
+        """Deduplicate the postings once, into ``folder``, for all reports that follow."""
+        keep_first(self.postings(), KEY, SOURCE_ORDER).write.parquet(folder)
+        return replace(self, unique_folder=folder)
+
     def skills(self, ordered: bool = True) -> DataFrame:
         return self.read(self.skills_name, [KEY, "job_skills"], ordered)
 

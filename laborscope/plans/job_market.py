@@ -13,14 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laborscope.functions import to_list
+from laborscope.functions import has_text, to_list
 from laborscope.operators import (
     count_equal,
     dedup_summary,
     first_rows,
     impute_nulls,
     keep_any,
-    keep_first,
     list_summary,
     mean_length_by,
     mean_list_size,
@@ -29,7 +28,6 @@ from laborscope.operators import (
     top_k,
     top_tokens,
     treatment_report,
-    unique_values,
 )
 from laborscope.plans.dataset import KEY, JobDataset
 from laborscope.sources import (
@@ -64,8 +62,7 @@ def duplicates(data: JobDataset) -> Report:
         after="filas_sin_duplicados",
         removed="duplicados_eliminados",
     )
-    unique = keep_first(data.postings("job_title", "company"), KEY, SOURCE_ORDER)
-    return Report(result, unique)
+    return Report(result, data.unique_postings("job_title", "company"))
 
 
 def missing_values(data: JobDataset) -> Report:
@@ -94,29 +91,31 @@ def skill_lists(data: JobDataset) -> Report:
 def remote_postings(data: JobDataset) -> Report:
     """4: distinct postings with one exact job type."""
     wanted = "Remote"
-    unique = keep_first(data.postings("job_type"), KEY, SOURCE_ORDER)
-    result = count_equal(unique, "job_type", wanted, name="ofertas_remotas")
-    detailed = keep_first(data.postings("job_title", "company", "job_type"), KEY, SOURCE_ORDER)
+    result = count_equal(data.unique_postings("job_type"), "job_type", wanted, "ofertas_remotas")
+    detailed = data.unique_postings("job_title", "company", "job_type")
     return Report(result, detailed.filter(F.col("job_type") == wanted))
 
 
+def _present(data: JobDataset, column: str) -> DataFrame:
+    """The column over distinct postings, blanks left out after the deduplication."""
+    return data.unique_postings(column).filter(has_text(column)).select(column)
+
+
 def top_companies(data: JobDataset) -> Report:
     """5: the ten companies with most distinct postings."""
-    values = unique_values(data.postings("company"), KEY, "company", SOURCE_ORDER)
-    return Report(top_k(values, "company", 10, "ofertas"))
+    return Report(top_k(_present(data, "company"), "company", 10, "ofertas"))
 
 
 def top_countries(data: JobDataset) -> Report:
     """6: the ten countries with most distinct postings."""
-    values = unique_values(data.postings("search_country"), KEY, "search_country", SOURCE_ORDER)
-    return Report(top_k(values, "search_country", 10, "ofertas"))
+    return Report(top_k(_present(data, "search_country"), "search_country", 10, "ofertas"))
 
 
 def length_by_level(data: JobDataset) -> Report:
     """7: mean description length per job level."""
     result = mean_length_by(
         data.summary(),
-        data.postings("job_level"),
+        data.unique_postings("job_level") if data.unique_folder else data.postings("job_level"),
         KEY,
         "job_summary",
         "job_level",
@@ -143,8 +142,7 @@ def top_skills(data: JobDataset) -> Report:
 
 def company_ranking(data: JobDataset) -> Report:
     """9: all companies by distinct postings."""
-    values = unique_values(data.postings("company"), KEY, "company", SOURCE_ORDER)
-    return Report(ranking(values, "company", "ofertas"), bounded=False)
+    return Report(ranking(_present(data, "company"), "company", "ofertas"), bounded=False)
 
 
 def skills_per_posting(data: JobDataset) -> Report:

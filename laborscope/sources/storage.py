@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -41,6 +42,11 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="laborscope-")
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new path for ``name`` below the shared folder in ``spark.checkpoint.dir``.
 
@@ -50,8 +56,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="laborscope-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -20,7 +20,7 @@ from laborscope.operators.joins import NULL_SAFE_KEY, null_safe_key
 from laborscope.operators.ranking import count_by
 from laborscope.operators.textstats import (
     first_levels,
-    length_totals,
+    length_totals_by,
     mean_from_totals,
     mean_size_over_keys,
     tokens,
@@ -121,9 +121,7 @@ def incremental_mean_length_by(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         known = batch.sparkSession.read.parquet(table)
-        joined = length_totals(batch, key, text).join(known, key)
-        sums = joined.groupBy(level).agg(F.sum("_n").alias("_n"), F.sum("_total").alias("_total"))
-        _save(sums, totals, batch_id)
+        _save(length_totals_by(batch, known, key, text, level), totals, batch_id)
 
     _run(stream, handle, folder)
     schema = f"`{level}` {static.schema[level].dataType.simpleString()}, _n bigint, _total bigint"

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from laborscope.functions import DEFAULT_SEPARATOR, has_text, not_empty, text_length
 from laborscope.operators.ranking import count_by
-from laborscope.operators.textstats import mean_from_totals, tokens
+from laborscope.operators.textstats import tokens
 from laborscope.sources import storage
 from laborscope.sources.files import SOURCE_ORDER
 
@@ -121,14 +121,3 @@ def run_complete(stream: DataFrame, folder: str) -> DataFrame:
     batches = spark.read.parquet(f"{folder}/data")
     newest = F.lit(latest[0]) if latest else F.lit(batches.agg(F.max("batch")).first()[0])
     return batches.filter(F.col("batch") == newest).drop("batch")
-
-
-__all__ = [
-    "mean_from_totals",
-    "run_append",
-    "run_complete",
-    "stream_dedup",
-    "stream_length_totals_by",
-    "stream_parquet",
-    "stream_token_counts",
-]

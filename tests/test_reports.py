@@ -153,6 +153,16 @@ def test_csv_and_parquet_agree(jobs, spark, tmp_path, values):
         assert values(QUERIES[n](csv).result) == values(QUERIES[n](jobs).result), n
 
 
+def test_postings_deduplicated_once(jobs, spark, tmp_path, values):
+    once = jobs.with_unique_postings(f"{tmp_path}/unique")
+    for n in QUERIES:
+        assert values(QUERIES[n](once).result) == values(QUERIES[n](jobs).result), n
+    for n in (1, 4):
+        assert values(QUERIES[n](once).sample()) == values(QUERIES[n](jobs).sample())
+    text = QUERIES[4](once).result._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(job_type,Remote)" in text and "Window" not in text
+
+
 def test_source_order_spans_files(spark, text_table, tmp_path, values):
     from laborscope.sources import SOURCE_ORDER, read_parquet
 
