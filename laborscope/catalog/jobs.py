@@ -132,7 +132,7 @@ def job_q1(spark, folder):
 @query(f"""
     SELECT job_link, job_title, company FROM {FIRST_POSTINGS_SQL}""")
 def job_q1_rows(spark, folder):
-    rows = REPORTS[1](job_dataset(spark, folder, "postings")).rows
+    rows = REPORTS[1](job_dataset(spark, folder, "postings")).rows()
     return rows.select("job_link", "job_title", "company")
 
 

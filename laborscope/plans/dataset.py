@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from laborscope.operators import keep_first
 from laborscope.sources import (
     SOURCE_ORDER,
+    project,
     read_complete_parquet,
     read_csv_text,
     read_multiline_csv,
-    read_parquet,
 )
 
 KEY = "job_link"
@@ -26,6 +26,8 @@ class JobDataset:
     ``prepared_summary`` names a converted Parquet folder for the long texts,
     which is read only when its conversion finished. ``unique_folder`` names
     postings that :meth:`with_unique_postings` deduplicated before.
+
+    Parquet files are listed once per dataset object; make a new one to see new files.
     """
 
     spark: SparkSession
@@ -35,6 +37,7 @@ class JobDataset:
     summary_name: str = "summary"
     prepared_summary: str | None = None
     unique_folder: str | None = None
+    _scans: dict[str, DataFrame] = field(default_factory=dict, init=False, repr=False, compare=False)
 
     def path(self, name: str) -> str:
         return f"{self.folder.rstrip('/')}/{name}"
@@ -44,7 +47,9 @@ class JobDataset:
             return read_csv_text(
                 self.spark, self.path(name), columns, missing="blank", source_order=ordered
             )
-        return read_parquet(self.spark, self.path(name), columns, source_order=ordered)
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(self.path(name))
+        return project(self._scans[name], columns, source_order=ordered)
 
     def postings(self, *columns: str, ordered: bool = True) -> DataFrame:
         """All columns, or the key and the given ones."""
@@ -55,8 +60,11 @@ class JobDataset:
         """The first posting per link, with the key, the given columns and the source order."""
         if self.unique_folder is None:
             return keep_first(self.postings(*columns), KEY, SOURCE_ORDER)
-        wanted = list(dict.fromkeys([KEY, *columns, SOURCE_ORDER]))
-        return read_complete_parquet(self.spark, self.unique_folder, wanted if columns else None)
+        if self.unique_folder not in self._scans:
+            scan = read_complete_parquet(self.spark, self.unique_folder)
+            self._scans[self.unique_folder] = scan
+        scan = self._scans[self.unique_folder]
+        return scan.select(*dict.fromkeys([KEY, *columns, SOURCE_ORDER])) if columns else scan
 
     def with_unique_postings(self, folder: str) -> JobDataset:
         """Deduplicate the postings once, into ``folder``, for all reports that follow."""
@@ -72,4 +80,4 @@ class JobDataset:
             return read_complete_parquet(self.spark, self.prepared_summary, columns, parts="part*.parquet")
         if self.summary_name.endswith(".csv"):
             return read_multiline_csv(self.spark, self.path(self.summary_name), columns, missing="blank")
-        return read_parquet(self.spark, self.path(self.summary_name), columns)
+        return self.read(self.summary_name, columns)

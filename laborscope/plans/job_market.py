@@ -41,16 +41,16 @@ from laborscope.sources import (
 
 @dataclass(frozen=True)
 class Report:
-    """A result table, and for some queries the rows to take a sample from."""
+    """A result table, and for some queries how to get the rows to take a sample from."""
 
     result: DataFrame
-    rows: DataFrame | None = None
+    rows: Callable[[], DataFrame] | None = None
     order: str = SOURCE_ORDER
     bounded: bool = True
     json_sample: bool = False
 
     def sample(self, n: int = 5) -> DataFrame | None:
-        return None if self.rows is None else first_rows(self.rows, self.order, n).drop(self.order)
+        return None if self.rows is None else first_rows(self.rows(), self.order, n).drop(self.order)
 
 
 def duplicates(data: JobDataset) -> Report:
@@ -62,7 +62,7 @@ def duplicates(data: JobDataset) -> Report:
         after="filas_sin_duplicados",
         removed="duplicados_eliminados",
     )
-    return Report(result, data.unique_postings("job_title", "company"))
+    return Report(result, lambda: data.unique_postings("job_title", "company"))
 
 
 def missing_values(data: JobDataset) -> Report:
@@ -84,7 +84,10 @@ def skill_lists(data: JobDataset) -> Report:
     result = list_summary(
         data.skills(ordered=False), "job_skills", rows="filas", items="habilidades_totales"
     )
-    lists = data.skills().select(KEY, to_list("job_skills").alias("habilidades"), SOURCE_ORDER)
+
+    def lists() -> DataFrame:
+        return data.skills().select(KEY, to_list("job_skills").alias("habilidades"), SOURCE_ORDER)
+
     return Report(result, lists, json_sample=True)
 
 
@@ -92,8 +95,12 @@ def remote_postings(data: JobDataset) -> Report:
     """4: distinct postings with one exact job type."""
     wanted = "Remote"
     result = count_equal(data.unique_postings("job_type"), "job_type", wanted, "ofertas_remotas")
-    detailed = data.unique_postings("job_title", "company", "job_type")
-    return Report(result, detailed.filter(F.col("job_type") == wanted))
+
+    def rows() -> DataFrame:
+        detailed = data.unique_postings("job_title", "company", "job_type")
+        return detailed.filter(F.col("job_type") == wanted)
+
+    return Report(result, rows)
 
 
 def _present(data: JobDataset, column: str) -> DataFrame:
@@ -203,9 +210,7 @@ def run_query(number: int, data: JobDataset, folder: str) -> float:
     write_csv(report.result, target, single_file=report.bounded)
     seconds = time.perf_counter() - started
     if report.rows is not None:
-        if report.json_sample:
-            write_sample_json(report.rows, f"{target}_muestra", report.order, drop=[report.order])
-        else:
-            write_sample_csv(report.rows, f"{target}_muestra", report.order, drop=[report.order])
+        write_sample = write_sample_json if report.json_sample else write_sample_csv
+        write_sample(report.rows(), f"{target}_muestra", report.order, drop=[report.order])
     preview(data.spark.read.option("header", True).csv(target))
     return seconds

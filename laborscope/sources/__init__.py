@@ -3,6 +3,7 @@ from laborscope.sources.files import (  # noqa: F401
     PART_GLOB,
     SOURCE_ORDER,
     per_file,
+    project,
     read_complete_parquet,
     read_csv_text,
     read_parquet,

@@ -72,6 +72,20 @@ def read_csv_text(
     return df.select(*selected)
 
 
+def project(
+    scan: DataFrame, columns: Sequence[str] | None = None, *, source_order: bool = False
+) -> DataFrame:
+    """Columns of a Parquet scan, with the position of the row if wanted."""
+    selected = [F.col(f"`{c}`") for c in columns or scan.columns]
+    if source_order:
+        position = F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.row_index").alias("row"),
+        )
+        selected.append(position.alias(SOURCE_ORDER))
+    return scan.select(*selected)
+
+
 def read_parquet(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -81,14 +95,7 @@ def read_parquet(
 ) -> DataFrame:
     """Scan Parquet with projection; ``source_order`` adds file and row position."""
     df = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    selected = [F.col(f"`{c}`") for c in columns or df.columns]
-    if source_order:
-        position = F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.row_index").alias("row"),
-        )
-        selected.append(position.alias(SOURCE_ORDER))
-    return df.select(*selected)
+    return project(df, columns, source_order=source_order)
 
 
 def read_complete_parquet(
@@ -106,14 +113,7 @@ def read_complete_parquet(
     if not storage.matches(spark, f"{folder}/{parts}"):
         raise FileNotFoundError(f"{path} has no {parts} files")
     df = spark.read.option("pathGlobFilter", parts).parquet(folder)
-    selected = [F.col(f"`{c}`") for c in columns or df.columns]
-    if source_order:
-        position = F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.row_index").alias("row"),
-        )
-        selected.append(position.alias(SOURCE_ORDER))
-    return df.select(*selected)
+    return project(df, columns, source_order=source_order)
 
 
 def per_file(df: DataFrame, **measures) -> DataFrame:
