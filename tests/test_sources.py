@@ -201,3 +201,37 @@ def test_shuffles_follow_the_input(spark, tmp_path):
     spark.range(10).write.parquet(str(tmp_path / "p"))
     assert size_shuffles(spark, str(tmp_path / "p")) == spark.sparkContext.defaultParallelism
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_large_csv_edges(spark, tmp_path, values):
+    """Header-only files, blank lines, no last line break, and one-line records."""
+    folder = tmp_path / "edges"
+    folder.mkdir()
+    put(folder / "0.csv", "k,t\n")
+    put(folder / "1.csv", 'k,t\n\na,"1\n\n2"\n\n\nb,x')
+    put(folder / "2.csv", 'k,t\r\nc,"y\r\n"\r\n"d","z"\r\n')
+    put(folder / "3.csv", 'k,t\ne,"' + "q" * 50 + '""\n"')
+    put(folder / "4.csv", "k,t")
+    expected = [("a", "1\n\n2"), ("b", "x"), ("c", "y\r\n"), ("d", "z"), ("e", "q" * 50 + '"\n')]
+    table = read_large_csv(spark, str(folder), source_order=True).orderBy(SOURCE_ORDER)
+    assert values(table, "k", "t") == expected
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_large_csv_equals_the_plain_reader(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    pieces = ["a", "b c", ",", '"', "\n", "é", ""]
+    rows = [[f"k{i}", "".join(rng.choices(pieces, k=rng.randrange(12)))] for i in range(400)]
+    path = tmp_path / "minimal.csv"
+    with open(path, "w", newline="", encoding="utf-8") as file:
+        csv.writer(file, lineterminator="\n").writerows([["k", "t"], *rows])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 500)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        got = read_large_csv(spark, str(path), missing="blank").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    plain = read_csv_text(spark, str(path), multiline=True, missing="blank").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, plain)) == sorted(map(tuple, rows))
