@@ -68,7 +68,7 @@ def in2_incremental_token_counts(spark, folder):
 def in3_stream_mean_length_by(spark, folder):
     labels = op.first_by_key(quality_labels(spark, folder), "doc_id", ["quality"], "doc_id")
     stream = stream_parquet(spark, f"{folder}/documents.parquet")
-    totals = stream_length_totals_by(stream, labels, "doc_id", "text", "quality")
+    totals = stream_length_totals_by(stream, labels, "doc_id", "text", "quality", "source_order")
     return op.mean_from_totals(run_complete(totals, work_folder(spark, "stream-lengths")), "quality")
 
 

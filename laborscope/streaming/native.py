@@ -21,6 +21,9 @@ from laborscope.sources.files import SOURCE_ORDER
 # Sub-keys a repeated key is first deduplicated under.
 SPREAD = 32
 
+# Copies of the static side a spread join makes; it has one narrow row per key.
+JOIN_SPREAD = 8
+
 
 def stream_parquet(
     spark: SparkSession,
@@ -74,14 +77,28 @@ def stream_token_counts(
 
 
 def stream_length_totals_by(
-    stream: DataFrame, levels: DataFrame, key: str, text: str, level: str
+    stream: DataFrame,
+    levels: DataFrame,
+    key: str,
+    text: str,
+    level: str,
+    spread_by: Column | str | None = None,
 ) -> DataFrame:
     """Running ``level, _n, _total`` against a static table with one level per key.
 
-    Merge with ``mean_from_totals``. Only key and length reach the join.
+    Merge with ``mean_from_totals``. Only key and length reach the join. With
+    ``spread_by``, a column that differs between the rows of a key, a hot key
+    is joined in up to ``JOIN_SPREAD`` tasks against copies of the levels.
     """
-    lengths = stream.filter(not_empty(text)).select(key, text_length(text).alias("_length"))
-    joined = lengths.join(levels.select(key, level).filter(has_text(level)), key)
+    texts = stream.filter(not_empty(text))
+    known = levels.select(key, level).filter(has_text(level))
+    on = [key]
+    if spread_by is not None:
+        on.append("_spread")
+        texts = texts.withColumn("_spread", F.pmod(F.xxhash64(spread_by), F.lit(JOIN_SPREAD)))
+        copies = F.sequence(F.lit(0).cast("long"), F.lit(JOIN_SPREAD - 1).cast("long"))
+        known = known.withColumn("_spread", F.explode(copies))
+    joined = texts.select(*on, text_length(text).alias("_length")).join(known, on)
     return joined.groupBy(level).agg(F.count("*").alias("_n"), F.sum("_length").alias("_total"))
 
 

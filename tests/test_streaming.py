@@ -102,8 +102,11 @@ def test_mean_length(spark, arriving, text_table, values):
     )
     assert values(got) == batch
     first = first_by_key(levels, "k", ["level"], "n")
-    totals = stream_length_totals_by(stream_parquet(spark, arriving), first, "k", "t", "level")
-    assert values(mean_from_totals(run_complete(totals, work_folder(spark, "s")), "level")) == batch
+    for spread in (None, "source_order"):
+        stream = stream_parquet(spark, arriving)
+        totals = stream_length_totals_by(stream, first, "k", "t", "level", spread)
+        got = mean_from_totals(run_complete(totals, work_folder(spark, "s")), "level")
+        assert values(got) == batch
 
 
 def test_mean_list_size(spark, arriving, text_table, values):
