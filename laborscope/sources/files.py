@@ -119,6 +119,6 @@ def read_complete_parquet(
 def per_file(df: DataFrame, **measures) -> DataFrame:
     """Aggregate per source file of a scan, with the row count as ``rows``."""
     extra = [m.alias(name) for name, m in measures.items()]
-    return df.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.count("*").alias("rows"), *extra
     )
