@@ -1,4 +1,4 @@
 """All queries of this subpackage: importing a module registers its query."""
 
-from laborscope.llm import decontamination, packing, quality  # noqa: F401
+from laborscope.llm import decontamination, packing, quality, secret_scan  # noqa: F401
 from laborscope.llm.base import QUERIES, SQL  # noqa: F401
