@@ -24,6 +24,10 @@ NOT_SPACE = ~np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
 ALPHANUMERIC = (
     ((_UPPER >= 0x30) & (_UPPER <= 0x39)) | ((_UPPER >= 0x61) & (_UPPER <= 0x7A)) | (_UPPER >= 0x80)
 )
+#: ASCII letters, and all bytes of other characters.
+LETTERS = (
+    ((_UPPER >= 0x41) & (_UPPER <= 0x5A)) | ((_UPPER >= 0x61) & (_UPPER <= 0x7A)) | (_UPPER >= 0x80)
+)
 LOWER = np.where((_UPPER >= 0x41) & (_UPPER <= 0x5A), _UPPER + 32, _UPPER).astype(np.uint8)
 
 
@@ -69,12 +73,20 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
-def words(texts: list[bytes], kind: np.ndarray = NOT_SPACE, lower: bool = False) -> Words:
+def words(
+    texts: list[bytes], kind: np.ndarray = NOT_SPACE, lower: bool = False, characters: int | None = None
+) -> Words:
+    """Words of bytes of one ``kind``; with ``characters``, only so many first ones of each count."""
     joined = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
     lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
     bounds = np.concatenate([[0], np.cumsum(lengths)])
     buffer = LOWER[joined] if lower else joined
     inside = kind[buffer]
+    if characters:
+        begins = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
+        number = np.cumsum((buffer & 0xC0) != 0x80)
+        before = np.repeat(number[begins], np.diff(np.append(begins, len(buffer))))
+        inside[begins[0] if len(begins) else len(buffer) :] &= number[len(number) - len(before) :] - before < characters
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     starts, ends = edges[0::2], edges[1::2]
     first = np.searchsorted(starts, bounds)
