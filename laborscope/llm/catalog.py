@@ -1,4 +1,4 @@
 """All queries of this subpackage: importing a module registers its query."""
 
-from laborscope.llm import decontamination, jaccard_join, packing, quality, rules, secret_scan, substrings, toxicity  # noqa: F401
+from laborscope.llm import backoff, decontamination, jaccard_join, packing, quality, rules, secret_scan, substrings, toxicity  # noqa: F401
 from laborscope.llm.base import QUERIES, SQL  # noqa: F401
