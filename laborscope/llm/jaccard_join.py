@@ -5,7 +5,7 @@
 2. Signatures (see :mod:`partenum`) are dealt to buckets by their hash, packed
    per slice of rows. In a bucket, sets that share a signature form a list. A
    list gives one pair of each member with its smallest one, not all pairs.
-3. Similar pairs, estimated by a 1024-bit parity sketch, join sets to families.
+3. Similar pairs, estimated by a parity sketch of 1024 bits or more, join sets to families.
    Two members of one list in different families are a candidate pair only if
    their sketches leave it possible (parity bits never exceed the true
    difference), and then their families are merged. So every two sets that can
@@ -32,7 +32,9 @@ from laborscope.llm.words import NOT_SPACE, mixed, shingles, slices, words
 
 SHINGLE = 4
 PERCENT = 85
+#: A sketch has this many 64-bit words, doubled for each doubling beyond this many shingles.
 SKETCH_WORDS = 16
+SKETCHED = 2000
 #: Shingles per bucket of signatures, and per block of a family.
 PER_BUCKET = 1_000_000
 PER_BLOCK = 4_000_000
@@ -79,17 +81,28 @@ def _parity(elements: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view(np.uint64).reshape(len(sizes), width)
 
 
+def sketch_words(size: int) -> int:
+    return SKETCH_WORDS << max(0, (size - 1) // SKETCHED).bit_length()
+
+
 def describe_sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """``doc_id, n_shingles, d1, d2, sketch`` per row."""
 
     def prepare():
         def compute(texts: list[bytes]) -> list:
             elements, sizes = shingle_sets(texts, size)
-            d1, d2 = _digests(elements, _bounds(sizes))
-            sketch = _parity(elements, sizes, SKETCH_WORDS).view(np.int64)
-            flat = pa.array(sketch.ravel())
-            lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, SKETCH_WORDS, dtype=np.int32), flat)
-            return [pa.array(sizes, pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists]
+            bounds = _bounds(sizes)
+            d1, d2 = _digests(elements, bounds)
+            sketches = [
+                _parity(elements[a:b], np.array([b - a]), sketch_words(int(b - a)))[0].view(np.int64)
+                for a, b in zip(bounds, bounds[1:])
+            ]
+            return [
+                pa.array(sizes, pa.int64()),
+                pa.array(d1.view(np.int64)),
+                pa.array(d2.view(np.int64)),
+                pa.array(sketches, pa.list_(pa.int64())),
+            ]
 
         return compute
 
@@ -187,16 +200,32 @@ def signature_lists(docs: DataFrame, key: str, text: str, size: int, percent: in
     return dealt.mapInArrow(match, "list_id bigint, a bigint, b bigint")
 
 
+def _bits(a: Column, b: Column) -> Column:
+    words = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(words, F.lit(0), lambda t, x: t + x)
+
+
+def _folded(a: Column) -> Column:
+    """The sketch of half the width."""
+    half = (F.size(a) / 2).cast("int")
+    return F.zip_with(F.slice(a, 1, half), F.slice(a, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+
 def _differing(a: str, b: str) -> Column:
-    bits = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    return F.aggregate(bits, F.lit(0), lambda t, x: t + x)
+    """Differing parity bits; sets whose sketches are two widths apart cannot be similar."""
+    one, two = F.col(a), F.col(b)
+    return (
+        F.when(F.size(one) == F.size(two), _bits(one, two))
+        .when(F.size(one) == 2 * F.size(two), _bits(_folded(one), two))
+        .when(2 * F.size(one) == F.size(two), _bits(one, _folded(two)))
+        .otherwise(F.lit(2**31 - 1))
+    )
 
 
-def _estimate(bits: Column) -> Column:
+def _estimate(bits: Column, width: Column) -> Column:
     """Expected difference behind so many differing parity bits."""
-    most = SKETCH_WORDS * 64
-    share = F.least(2 * bits / F.lit(float(most)), F.lit(0.999))
-    return -F.lit(most / 2) * F.log(1 - share)
+    most = width * 64.0
+    return -(most / 2) * F.log(1 - F.least(2 * bits / most, F.lit(0.999)))
 
 
 def _families(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -209,11 +238,13 @@ def _families(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .join(one.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
         .join(two.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
         .withColumn("bits", _differing("sa", "sb"))
-        .select("a", "b", "na", "nb", "bits")
+        .select("a", "b", "na", "nb", "bits", F.least(F.size("sa"), F.size("sb")).alias("width"))
         .checkpoint()
     )
     total = F.col("na") + F.col("nb")
-    near = _estimate(F.col("bits")) * (100 + FAMILY_PERCENT) <= total * (100 - FAMILY_PERCENT)
+    near = (2 * F.least("na", "nb") >= F.greatest("na", "nb")) & (
+        _estimate(F.col("bits"), F.col("width")) * (100 + FAMILY_PERCENT) <= total * (100 - FAMILY_PERCENT)
+    )
     possible = (F.col("bits") * (100 + percent) <= total * (100 - percent)) & (
         100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     )

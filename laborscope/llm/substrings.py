@@ -97,7 +97,6 @@ def shared_minimizers(docs: DataFrame, window: int, gram: int) -> DataFrame:
             )
 
     pairs = docs.filter(F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id bigint, minimizer bigint")
-    pairs = pairs.checkpoint()
     counted = pairs.groupBy("minimizer").agg(
         F.min("doc_id").alias("low"),
         F.max("doc_id").alias("high"),
