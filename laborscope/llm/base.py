@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from laborscope.llm.words import slices
+from laborscope.sources.storage import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,8 +29,13 @@ def _ship(application: str) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package's code to the executors, once per application."""
+    """Send the package's code to the executors, once per application.
+
+    Also gives a session on one machine a checkpoint folder if it has none.
+    """
     context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
+        context.setCheckpointDir(work_folder(spark, "checkpoint"))
     if not any("laborscope" in f for f in context.listFiles):
         context.addPyFile(_ship(context.applicationId))
 
