@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from laborscope import operators as op
@@ -11,12 +11,14 @@ from laborscope.catalog.reports import q9_ranking
 from laborscope.functions import list_count, round2, text_digest, text_length
 from laborscope.plans import JobDataset
 from laborscope.sources import (
+    SOURCE_ORDER,
     collect_small,
     csv_to_parquet,
     per_file,
     read_complete_parquet,
     read_csv_text,
     read_large_csv,
+    read_parquet,
     sample_json,
     work_folder,
     write_csv,
@@ -66,7 +68,7 @@ def _texts(df: DataFrame) -> DataFrame:
 def sc3_multiline_csv(spark, folder):
     target = work_folder(spark, "csv")
     write_csv(table(spark, folder, "documents", "doc_id", "text"), target)
-    return _texts(read_csv_text(spark, target, multiline=True, line_sep="\n"))
+    return _texts(read_csv_text(spark, target, multiline=True))
 
 
 @query(TEXTS_SQL)
@@ -92,20 +94,34 @@ def sc5_complete_parquet(spark, folder):
 def sc6_batched_scan(spark, folder):
     target = work_folder(spark, "parts")
     events = table(spark, folder, "events", "event_id", "event_type")
-    write_parts(events, target)
-    stream = stream_parquet(spark, target, events.schema, files_per_trigger=100)
+    write_parts(events.repartition(8, "event_id"), target)
+    stream = stream_parquet(spark, target, events.schema, files_per_trigger=2)
     return run_complete(op.count_by(stream, "event_type"), work_folder(spark, "batched"))
 
 
 @query("""
-    SELECT count(*) AS rows, CAST(sum(len(string_split(text, ', '))) AS BIGINT) AS items
-    FROM documents""")
+    SELECT CAST(doc_id % 8 AS INTEGER) AS part, count(*) AS rows,
+           CAST(sum(len(string_split(text, ', '))) AS BIGINT) AS items
+    FROM documents GROUP BY 1""")
 def sc7_per_file(spark, folder):
     target = work_folder(spark, "parts")
-    write_parts(table(spark, folder, "documents", "doc_id", "text"), target)
-    scan = spark.read.parquet(target)
-    files = per_file(scan, items=F.sum(list_count("text")))
-    return files.agg(F.sum("rows").alias("rows"), F.sum("items").alias("items"))
+    parts = table(spark, folder, "documents", "doc_id", "text").withColumn("part", F.col("doc_id") % 8)
+    parts.repartition(8, "part").write.partitionBy("part").parquet(target)
+    files = per_file(spark.read.parquet(target), items=F.sum(list_count("text")))
+    number = F.regexp_extract("file", r"part=(\d+)", 1).cast("int")
+    return files.select(number.alias("part"), "rows", "items")
+
+
+@query("""
+    SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS place FROM documents""")
+def sc7_order_over_many_parts(spark, folder):
+    """Rows of one task, one per file, numbered in source order; the sizes tested give 1,000 files."""
+    target = work_folder(spark, "parts")
+    one_task = table(spark, folder, "documents", "doc_id").coalesce(1).sortWithinPartitions("doc_id")
+    write_parts(one_task, target, 1)
+    scan = read_parquet(spark, target, ["doc_id"], source_order=True)
+    place = F.row_number().over(Window.orderBy(SOURCE_ORDER)).cast("long")
+    return scan.select("doc_id", place.alias("place"))
 
 
 @query("SELECT 'orders' AS name, count(*) AS n FROM orders")
@@ -149,4 +165,5 @@ def sk4_csv_to_parquet(spark, folder):
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def sk6_collect_small(spark, folder):
     counts = op.count_by(table(spark, folder, "events", "event_type"), "event_type")
-    return spark.createDataFrame(collect_small(counts), counts.schema)
+    collect_small(counts)  # fails if they were many; the result itself stays in Spark
+    return counts

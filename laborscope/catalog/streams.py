@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from laborscope import operators as op
 from laborscope.catalog.base import (
@@ -30,8 +31,22 @@ from laborscope.streaming import (
 )
 
 def document_stream(spark: SparkSession, folder: str) -> DataFrame:
-    stream = stream_parquet(spark, f"{folder}/documents.parquet")
-    return stream.withColumn("text_key", text_digest("text"))
+    """The documents in eight files, two per micro-batch, so that keys repeat across batches."""
+    return in_batches(spark, folder, "documents").withColumn("text_key", text_digest("text"))
+
+
+FILES = 8
+
+
+def in_batches(spark: SparkSession, folder: str, name: str, key: str = "doc_id") -> DataFrame:
+    """A stream of all rows in files by ascending key, written one after another as a job would find them."""
+    rows = table(spark, folder, name)
+    low, high = rows.agg(F.min(key), F.max(key)).first()
+    target = work_folder(spark, f"{name}-parts")
+    number = F.coalesce(F.floor((F.col(key) - F.lit(low)) * FILES / F.lit(high - low + 1)), F.lit(0))
+    for i in range(FILES):
+        rows.filter(number == i).coalesce(1).write.mode("append").parquet(target)
+    return stream_parquet(spark, target, rows.schema, files_per_trigger=2)
 
 
 @query("SELECT DISTINCT sha256(text) AS text_key FROM documents")
@@ -67,14 +82,14 @@ def in2_incremental_token_counts(spark, folder):
 @query(MEAN_LENGTH_SQL)
 def in3_stream_mean_length_by(spark, folder):
     labels = op.first_by_key(quality_labels(spark, folder), "doc_id", ["quality"], "doc_id")
-    stream = stream_parquet(spark, f"{folder}/documents.parquet")
+    stream = in_batches(spark, folder, "documents")
     totals = stream_length_totals_by(stream, labels, "doc_id", "text", "quality", "source_order")
     return op.mean_from_totals(run_complete(totals, work_folder(spark, "stream-lengths")), "quality")
 
 
 @query(MEAN_LENGTH_SQL)
 def in3_incremental_mean_length_by(spark, folder):
-    stream = stream_parquet(spark, f"{folder}/documents.parquet")
+    stream = in_batches(spark, folder, "documents")
     labels = quality_labels(spark, folder)
     target = work_folder(spark, "lengths")
     return incremental_mean_length_by(stream, labels, "doc_id", "text", "quality", "doc_id", target)

@@ -17,13 +17,26 @@ def lookup(left: DataFrame, right: DataFrame, key: str, fill: dict[str, object])
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items()})
 
 
+_STAND_IN = {
+    "date": "1970-01-01",
+    "timestamp": "1970-01-01",
+    "timestamp_ntz": "1970-01-01",
+    "boolean": False,
+    "string": "",
+    "binary": "",
+}
+
+
 def null_safe_key(df: DataFrame, key: str) -> list[Column]:
     """Two non-null columns ``_key`` and ``_no_key`` that stand for a nullable key.
 
     Joining and grouping on both treats null as a value of its own, like
     ``<=>``, but shares one hash partitioning between grouping and join.
     """
-    stand_in = F.lit(0).cast(df.schema[key].dataType)
+    kind = df.schema[key].dataType
+    # Any value of the type will do, as the second column tells it from a null.
+    value = _STAND_IN.get(kind.typeName(), 0)
+    stand_in = F.lit(value).cast(kind)
     return [
         F.coalesce(F.col(key), stand_in).alias("_key"),
         F.col(key).isNull().alias("_no_key"),
@@ -34,7 +47,10 @@ NULL_SAFE_KEY = ["_key", "_no_key"]
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join in which a null key matches a null key; the key column comes from ``left``."""
+    """Join in which a null key matches a null key; the key column comes from ``left``.
+
+    All null keys of a side meet in one task, so filter them first if they are many.
+    """
     renamed = right.withColumnRenamed(key, "_right_key")
     condition = F.col(key).eqNullSafe(F.col("_right_key"))
     return left.join(renamed, condition, how).drop("_right_key")

@@ -13,7 +13,6 @@ from laborscope.sources import (
     project,
     read_complete_parquet,
     read_csv_text,
-    read_multiline_csv,
 )
 
 KEY = "job_link"
@@ -45,7 +44,13 @@ class JobDataset:
     def read(self, name: str, columns: Sequence[str] | None = None, ordered: bool = False) -> DataFrame:
         if name.endswith(".csv"):
             return read_csv_text(
-                self.spark, self.path(name), columns, missing="blank", source_order=ordered
+                self.spark,
+                self.path(name),
+                columns,
+                multiline=True,
+                missing="blank",
+                strict=True,
+                source_order=ordered,
             )
         if name not in self._scans:
             self._scans[name] = self.spark.read.parquet(self.path(name))
@@ -79,5 +84,5 @@ class JobDataset:
         if self.prepared_summary:
             return read_complete_parquet(self.spark, self.prepared_summary, columns, parts="part*.parquet")
         if self.summary_name.endswith(".csv"):
-            return read_multiline_csv(self.spark, self.path(self.summary_name), columns, missing="blank")
+            return self.read(self.summary_name, columns)
         return self.read(self.summary_name, columns)

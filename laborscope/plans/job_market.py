@@ -33,6 +33,7 @@ from laborscope.plans.dataset import KEY, JobDataset
 from laborscope.sources import (
     SOURCE_ORDER,
     preview,
+    read_csv_text,
     write_csv,
     write_sample_csv,
     write_sample_json,
@@ -212,5 +213,5 @@ def run_query(number: int, data: JobDataset, folder: str) -> float:
     if report.rows is not None:
         write_sample = write_sample_json if report.json_sample else write_sample_csv
         write_sample(report.rows(), f"{target}_muestra", report.order, drop=[report.order])
-    preview(data.spark.read.option("header", True).csv(target))
+    preview(read_csv_text(data.spark, target, multiline=True))
     return seconds

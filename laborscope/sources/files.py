@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -18,6 +18,18 @@ _NO_NULL_TEXT = "\x01no null text\x01"
 
 SOURCE_ORDER = "source_order"
 
+_DIGITS = 20
+
+
+def file_order() -> Column:
+    """The file's path with every number in it as wide as the widest, so that text order is number order.
+
+    Writers pad task numbers to five digits and part counters to three, and
+    then go on with more: ``part-99999`` comes before ``part-100000``.
+    """
+    wide = F.regexp_replace(F.col("_metadata.file_path"), r"(\d+)", "0" * _DIGITS + "$1")
+    return F.regexp_replace(wide, rf"\d*(\d{{{_DIGITS}}})", "$1")
+
 
 def text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
@@ -31,7 +43,7 @@ def read_csv_text(
     multiline: bool = False,
     missing: str = "distinct",
     infer_types: bool = False,
-    line_sep: str | None = None,
+    strict: bool = False,
     source_order: bool = False,
 ) -> DataFrame:
     """Scan CSV with a header; every field stays text, also ``NA`` and ``null``.
@@ -39,9 +51,9 @@ def read_csv_text(
     ``missing`` says what an absent field becomes: ``"distinct"`` keeps an
     unquoted empty field as null and a quoted one as ``""``, ``"null"`` makes
     both null, ``"blank"`` makes both ``""``. ``multiline`` accepts quoted line
-    breaks, one task per file, and turns a quoted CRLF into LF unless
-    ``line_sep`` is given; :func:`laborscope.sources.read_large_csv` splits
-    files and keeps them. ``source_order`` adds a sortable position column.
+    breaks of any kind and keeps them, one task per file; lines may end in LF or
+    CRLF. ``strict`` fails on a record with more or fewer fields than the
+    header. ``source_order`` adds a sortable position column.
     """
     if missing not in ("distinct", "null", "blank"):
         raise ValueError("missing must be 'distinct', 'null' or 'blank'")
@@ -54,17 +66,28 @@ def read_csv_text(
     )
     if missing != "null":
         reader = reader.option("nullValue", _NO_NULL_TEXT)
-    if line_sep:
-        reader = reader.option("lineSep", line_sep)
+    if multiline:
+        # Any other separator would change the line breaks inside of fields.
+        reader = reader.option("lineSep", "\n")
+    if strict:
+        reader = reader.option("mode", "FAILFAST").option("columnPruning", False)
     df = reader.csv(path if isinstance(path, str) else list(path))
-    names = list(columns or df.columns)
-    selected = [F.col(f"`{c}`") for c in names]
+    fields = {c: F.col(f"`{c}`") for c in df.columns}
+    if multiline and df.columns and df.columns[-1].endswith("\r"):
+        # Lines end in CRLF: its first half is left on the last field.
+        last = fields.pop(df.columns[-1])
+        bare = F.regexp_replace(last, "\r$", "")
+        if missing != "blank":
+            bare = F.when(bare != "", bare)
+        fields[df.columns[-1][:-1]] = bare.alias(df.columns[-1][:-1])
+    names = list(columns or fields)
+    selected = [fields[c] for c in names]
     if missing == "blank" and not infer_types:
         selected = [F.coalesce(c, F.lit("")).alias(n) for c, n in zip(selected, names)]
     if source_order:
         # Rows of one block are read in order by one task.
         position = F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            file_order().alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         )
@@ -79,7 +102,7 @@ def project(
     selected = [F.col(f"`{c}`") for c in columns or scan.columns]
     if source_order:
         position = F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            file_order().alias("file"),
             F.col("_metadata.row_index").alias("row"),
         )
         selected.append(position.alias(SOURCE_ORDER))

@@ -4,10 +4,11 @@ Spark's ``multiLine`` option gives each file to one task, because a block
 alone cannot tell whether a line break is quoted. For big files the quotes per
 block are counted first; their running sum says for every block whether it
 begins inside a quoted field. The lines are then joined to records. That takes
-about ten times the work, so smaller files stay with one task each.
+about ten times the work and is never chosen by size: the caller asks for it.
 
 Split files must follow RFC 4180: fields with quotes or line breaks are quoted
-and inner quotes doubled.
+and inner quotes doubled. A record with more or fewer fields than the header,
+such as a stray quote makes, is an error.
 """
 
 from __future__ import annotations
@@ -24,9 +25,6 @@ from laborscope.sources.files import (
     text_schema,
 )
 
-# Files above this size are split.
-SPLIT_ABOVE = 1024 * 1024 * 1024
-
 
 def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     text = spark.read.option("lineSep", "\n").text(path if isinstance(path, str) else list(path))
@@ -103,7 +101,7 @@ def read_large_csv(
 ) -> DataFrame:
     """Like ``read_csv_text(multiline=True)``, with each file split over many tasks."""
     names = read_csv_text(spark, path, multiline=True, missing=missing).columns
-    options = {"quote": '"', "escape": '"'}
+    options = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
     if missing != "null":
         options["nullValue"] = _NO_NULL_TEXT
     data = _records(_lines(spark, path)).filter(~F.col("header") & (F.col("text") != ""))
@@ -115,22 +113,3 @@ def read_large_csv(
     if source_order:
         selected.append(F.struct("file", "block", "line").alias(SOURCE_ORDER))
     return parsed.select(*selected)
-
-
-def read_multiline_csv(
-    spark: SparkSession,
-    path: str,
-    columns: Sequence[str] | None = None,
-    *,
-    missing: str = "distinct",
-    source_order: bool = False,
-    split_above: int = SPLIT_ABOVE,
-) -> DataFrame:
-    """Scan multi-line CSV; files are split if the largest exceeds ``split_above`` bytes."""
-    sizes = spark.read.format("binaryFile").load(path).select("length")
-    largest = sizes.agg(F.max("length")).first()[0] or 0
-    if largest > split_above:
-        return read_large_csv(spark, path, columns, missing=missing, source_order=source_order)
-    return read_csv_text(
-        spark, path, columns, multiline=True, missing=missing, source_order=source_order
-    )

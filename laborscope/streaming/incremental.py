@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from laborscope.functions import DEFAULT_SEPARATOR, list_count
 from laborscope.operators.dedup import Keys, first_by_key
@@ -59,7 +59,9 @@ def _new_keys(
     first = first.select("*", *null_safe_key(first, key))
     if not storage.exists(batch.sparkSession, seen):
         return first
-    earlier = batch.sparkSession.read.parquet(seen).filter(F.col("batch") < batch_id)
+    # With a schema, what a batch that died has left of its folder does not matter.
+    schema = StructType([*first.schema.fields, StructField("batch", IntegerType())])
+    earlier = batch.sparkSession.read.schema(schema).parquet(seen).filter(F.col("batch") < batch_id)
     return first.join(earlier.select(*NULL_SAFE_KEY), NULL_SAFE_KEY, "left_anti")
 
 

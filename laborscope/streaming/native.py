@@ -16,7 +16,7 @@ from laborscope.functions import DEFAULT_SEPARATOR, has_text, not_empty, text_le
 from laborscope.operators.ranking import count_by
 from laborscope.operators.textstats import tokens
 from laborscope.sources import storage
-from laborscope.sources.files import SOURCE_ORDER
+from laborscope.sources.files import SOURCE_ORDER, file_order
 
 # Sub-keys a repeated key is first deduplicated under.
 SPREAD = 32
@@ -40,25 +40,30 @@ def stream_parquet(
     if storage.is_file(spark, path):
         path = f"{path[:-1]}[{path[-1]}]"  # a stream takes a folder or a pattern
     position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        file_order().alias("file"),
         F.col("_metadata.row_index").alias("row"),
     )
     return reader.parquet(path).select("*", position.alias(SOURCE_ORDER))
 
 
 def stream_dedup(
-    stream: DataFrame, keys: Sequence[str], spread_by: Column | str | None = None
+    stream: DataFrame,
+    keys: Sequence[str],
+    spread_by: Column | str | None = None,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """One row per key over all batches.
 
-    With ``spread_by``, a column that differs between the rows of a key (such
-    as ``source_order``), a repeated key is first deduplicated in up to
-    ``SPREAD`` tasks, so a hot key does not send all its rows to one.
+    A repeated key is first deduplicated in up to ``spread`` tasks, so a hot key
+    does not send all its rows to one; choose it by the share of the hottest
+    key, 1 for none. Rows are told apart by ``spread_by``, such as
+    ``source_order``, and by all their columns if it is not given.
     """
     keys = list(keys)
-    if spread_by is None:
+    if spread <= 1:
         return stream.dropDuplicates(keys)
-    spread = F.pmod(F.xxhash64(spread_by), F.lit(SPREAD))
+    told = [spread_by] if spread_by is not None else [F.col(f"`{c}`") for c in stream.columns]
+    spread = F.pmod(F.xxhash64(*told), F.lit(spread))
     once = stream.withColumn("_spread", spread).dropDuplicates([*keys, "_spread"])
     return once.drop("_spread").dropDuplicates(keys)
 
@@ -71,9 +76,11 @@ def stream_token_counts(
     count: str = "n",
     separator: str = DEFAULT_SEPARATOR,
     spread_by: Column | str | None = None,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Running count per list item over one row per key; for complete or update mode."""
-    return count_by(tokens(stream_dedup(stream, [key], spread_by), text, name, separator), name, count)
+    unique = stream_dedup(stream, [key], spread_by, spread)
+    return count_by(tokens(unique, text, name, separator), name, count)
 
 
 def stream_length_totals_by(
@@ -83,20 +90,21 @@ def stream_length_totals_by(
     text: str,
     level: str,
     spread_by: Column | str | None = None,
+    spread: int = JOIN_SPREAD,
 ) -> DataFrame:
     """Running ``level, _n, _total`` against a static table with one level per key.
 
     Merge with ``mean_from_totals``. Only key and length reach the join. With
     ``spread_by``, a column that differs between the rows of a key, a hot key
-    is joined in up to ``JOIN_SPREAD`` tasks against copies of the levels.
+    is joined in up to ``spread`` tasks against copies of the levels.
     """
     texts = stream.filter(not_empty(text))
     known = levels.select(key, level).filter(has_text(level))
     on = [key]
     if spread_by is not None:
         on.append("_spread")
-        texts = texts.withColumn("_spread", F.pmod(F.xxhash64(spread_by), F.lit(JOIN_SPREAD)))
-        copies = F.sequence(F.lit(0).cast("long"), F.lit(JOIN_SPREAD - 1).cast("long"))
+        texts = texts.withColumn("_spread", F.pmod(F.xxhash64(spread_by), F.lit(spread)))
+        copies = F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))
         known = known.withColumn("_spread", F.explode(copies))
     joined = texts.select(*on, text_length(text).alias("_length")).join(known, on)
     return joined.groupBy(level).agg(F.count("*").alias("_n"), F.sum("_length").alias("_total"))

@@ -117,10 +117,10 @@ def test_csv_source_order(spark, tmp_path, values):
     assert [r[0] for r in values(rows, "k")] == [f"{i}" for i in range(2000, 0, -1)]
 
 
-@pytest.mark.parametrize("split_above", [0, 1 << 30])
-def test_conversion(spark, odd_csv, tmp_path, split_above):
+@pytest.mark.parametrize("split", [True, False])
+def test_conversion(spark, odd_csv, tmp_path, split):
     target = str(tmp_path / "out")
-    parts, rows = csv_to_parquet(spark, odd_csv, target, rows_per_part=2, split_above=split_above)
+    parts, rows = csv_to_parquet(spark, odd_csv, target, rows_per_part=2, split=split)
     assert rows == 5 and parts >= 3
     marker = json.loads((tmp_path / "out" / "_SUCCESS").read_text())
     assert marker == {"origen": odd_csv, "partes": parts, "filas": 5}
