@@ -17,16 +17,16 @@ or more can repeat, and only those are counted:
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborscope.llm.base import query, table
-from laborscope.llm.words import Words, mixed, randoms, shingles, slices, words
+from laborscope.llm.words import SLICE_BYTES, Words, mixed, randoms, shingles, slices, words
 
 WINDOW = 50
 GRAM = 8
@@ -80,6 +80,27 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
 
 
+def _compressed(texts: DataFrame) -> DataFrame:
+    """The texts as zstandard data, about half of what a shuffle writes of them otherwise."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3, write_checksum=False).compress
+        for part, texts in slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array([pack(x) for x in texts], pa.binary())], names=["doc_id", "packed"]
+            )
+
+    return texts.mapInArrow(run, "doc_id bigint, packed binary")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        # Packed texts are small; their slices bound the unpacked ones.
+        for part, packed in slices([batch], "packed", SLICE_BYTES // 4):
+            yield part, [unpack(x) for x in packed]
+
+
 def shared_minimizers(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """``doc_id, minimizer, parts`` of minimizers that two texts or more have."""
 
@@ -97,6 +118,7 @@ def shared_minimizers(docs: DataFrame, window: int, gram: int) -> DataFrame:
             )
 
     pairs = docs.filter(F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id bigint, minimizer bigint")
+    pairs = pairs.checkpoint()
     counted = pairs.groupBy("minimizer").agg(
         F.min("doc_id").alias("low"),
         F.max("doc_id").alias("high"),
@@ -107,14 +129,15 @@ def shared_minimizers(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _window_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
-    """From ``doc_id, text, wanted`` (minimizers and their parts): settled intervals and open windows.
+    """From ``doc_id, packed, wanted`` (minimizers and their parts): settled intervals and open windows.
 
     An interval has ``doc_id, start, stop``; open windows of one run have
-    ``minimizer, part, doc_id, start`` with their ``offsets`` from there and ``hashes``.
+    ``minimizer, part, doc_id, start`` with their ``offsets`` from there (null if
+    they follow one another) and ``hashes``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches):
+        for part, texts in _unpacked(batches):
             w = words(texts)
             row, begin, end, least = _runs(w, window, gram)
             wanted = part.column("wanted")
@@ -158,12 +181,13 @@ def _window_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
             high = np.append(low[1:], len(rest))[: len(low)]
             offset = (inside[rest] % _LONGEST).astype(np.uint16)
             own = own[rest]
+            gapless = offset[high - 1].astype(np.int64) - offset[low] == high - low - 1 if len(low) else low
             yield _rows(
                 doc_id=doc[rest[low]],
-                start=start[rest[low]] - offset[low],
+                start=start[rest[low]] - np.where(gapless, 0, offset[low]),
                 minimizer=least[owner[low]].view(np.int64),
                 part=salt[low],
-                offsets=[offset[a:b].tobytes() for a, b in zip(low, high)],
+                offsets=[None if g else offset[a:b].tobytes() for g, a, b in zip(gapless, low, high)],
                 hashes=[own[a:b].tobytes() for a, b in zip(low, high)],
             )
 
@@ -205,7 +229,9 @@ def _repeated(runs: DataFrame, window: int) -> DataFrame:
                 late = [owner.setdefault(h, doc) < doc for h in np.frombuffer(packed, np.uint64).tolist()]
                 if not any(late):
                     continue
-                places = np.frombuffer(offsets, np.uint16).astype(np.int64)[np.array(late)]
+                places = np.flatnonzero(late)
+                if offsets is not None:
+                    places = np.frombuffer(offsets, np.uint16).astype(np.int64)[places]
                 cut = np.flatnonzero(np.diff(places, prepend=-2, append=1 << 20) != 1)
                 for a, b in zip(cut, cut[1:]):
                     out.append((doc, start + int(places[a]), start + int(places[b - 1]) + window))
@@ -241,7 +267,7 @@ def repeated_intervals(
     texts = _texts(docs, key, text)
     shared = shared_minimizers(texts, window, gram)
     wanted = shared.groupBy("doc_id").agg(F.collect_set(F.struct("minimizer", "parts")).alias("wanted"))
-    rows = _window_rows(texts.join(wanted, "doc_id"), window, gram).checkpoint()
+    rows = _window_rows(_compressed(texts).join(wanted, "doc_id"), window, gram).checkpoint()
     settled = rows.filter(F.col("hashes").isNull()).select("doc_id", "start", "stop")
     later = _repeated(rows.filter(F.col("hashes").isNotNull()), window)
     # At most one interval per word of a text meets here.
@@ -256,10 +282,10 @@ def remove_repeats(
     A null or empty text has no words; nothing of a row without key is removed.
     """
     ranges = repeated_intervals(docs, key=key, text=text, window=window, gram=gram)
-    joined = _texts(docs, key, text).join(ranges, "doc_id", "left")
+    joined = _compressed(_texts(docs, key, text)).join(ranges, "doc_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches):
+        for part, texts in _unpacked(batches):
             kept, total, removed = [], [], []
             for x, found in zip(texts, part.column("ranges").to_pylist()):
                 own = x.split()

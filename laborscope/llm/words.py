@@ -14,8 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _UPPER = np.arange(256)
 #: Bytes that are not one of the six ASCII white-space characters.
@@ -119,12 +120,12 @@ def slices(
         column = batch.column(text)
         if column.type != pa.binary():
             column = column.cast(pa.binary())
-        texts = [x or b"" for x in column.to_pylist()]
+        lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
         begin = size = 0
-        for i, x in enumerate(texts):
-            if size and size + len(x) > limit:
-                yield batch.slice(begin, i - begin), texts[begin:i]
+        for i in range(len(lengths) + 1):
+            if i == len(lengths) or (size and size + lengths[i] > limit):
+                if i > begin:
+                    yield batch.slice(begin, i - begin), [x or b"" for x in column.slice(begin, i - begin).to_pylist()]
                 begin, size = i, 0
-            size += len(x) + 1
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+            if i < len(lengths):
+                size += lengths[i] + 1
