@@ -2,11 +2,13 @@
 
 The rules count words, symbols, repeated lines and repeated word windows. The
 perplexity comes from a modified Kneser-Ney model of byte n-grams for each
-language: counts, continuation counts, discounts and interpolated probabilities
-are Spark aggregations and joins over the whole corpus. The model sent to the
-tasks keeps the n-grams with at least ``LEAST_SHARE`` of the count of their order,
-which bounds it to ``1 / LEAST_SHARE`` entries per order whatever the corpus; the
-rest backs off. It is held in sorted arrays of hashes.
+language: counts, continuation counts and discounts are Spark aggregations over
+the whole corpus. Texts are dealt to batches of one language; every distinct
+n-gram of a batch is joined to the full tables, and the batch gets back the counts.
+
+A text is scored by the model without its own counts: they are taken from the
+counts of each order, from the totals of the contexts, and, where an n-gram is in
+no other text, from the continuation counts below. Discounts stay those of the corpus.
 
 A text is rejected outside the band of its language: bits per byte beyond
 ``SPREAD`` times the interquartile range from the quartiles of all its texts that
@@ -15,20 +17,23 @@ pass the rules.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborscope.llm.base import annotate, query, table
-from laborscope.llm.words import mixed, shingles, slices, words
+from laborscope.llm.base import query, table
+from laborscope.llm.words import SLICE_BYTES, shingles, slices, words
 
 ORDER = 5
-LEAST_SHARE = 1e-6
 SPREAD = 10.0
 MIN_WORDS = 50
+#: Bytes of text per batch that is joined to the tables.
+BATCH_BYTES = 1 << 26
 #: Distinct n-grams that a task gathers before it hands them on.
 GATHERED = 2_000_000
 
@@ -162,26 +167,37 @@ def _discounts(counts: DataFrame) -> DataFrame:
     return counts.groupBy("lang").agg(*ones).select("lang", *(discount(i) for i in (1, 2, 3)))
 
 
-def kneser_ney(docs: DataFrame, order: int = ORDER) -> list[DataFrame]:
-    """Per order from 1 on: ``lang, gram, n, p, back``, interpolated probabilities.
+def counted(docs: DataFrame, order: int = ORDER) -> list[DataFrame]:
+    """Per order from 1 on: ``lang, gram, n`` for all n-grams.
 
     ``n`` is the count for the highest order and the number of distinct bytes
-    before it for lower ones; ``back`` is what its context leaves to the order below.
+    before it for lower ones.
     """
     tables = [_counts(docs, order).checkpoint()]
     for k in range(order - 1, 0, -1):
         below = tables[0].groupBy("lang", _last(F.col("gram"), k).alias("gram"))
         tables.insert(0, below.agg(F.count("*").alias("n")).checkpoint())
+    return tables
+
+
+def _rated(counts: DataFrame) -> DataFrame:
+    """``lang, context, gram, n, d``, and of the context ``total`` and the sum ``discount``."""
+    context = F.shiftright("gram", 8)
+    rated = counts.withColumn("context", context).join(F.broadcast(_discounts(counts)), "lang")
+    own = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    rated = rated.withColumn("d", own)
+    contexts = rated.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("d").alias("discount"))
+    return rated.join(contexts, ["lang", "context"])
+
+
+def kneser_ney(docs: DataFrame, order: int = ORDER) -> list[DataFrame]:
+    """Per order from 1 on: ``lang, gram, n, p, back``, interpolated probabilities.
+
+    ``n`` is as in :func:`counted`; ``back`` is what its context leaves to the order below.
+    """
     out: list[DataFrame] = []
-    for k, counts in enumerate(tables, 1):
-        context = F.shiftright("gram", 8)
-        rated = counts.withColumn("context", context).join(_discounts(counts), "lang")
-        own = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        rated = rated.withColumn("d", own)
-        contexts = rated.groupBy("lang", "context").agg(
-            F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("back")
-        )
-        rated = rated.join(contexts, ["lang", "context"])
+    for k, counts in enumerate(counted(docs, order), 1):
+        rated = _rated(counts).withColumn("back", F.col("discount") / F.col("total"))
         direct = (F.col("n") - F.col("d")) / F.col("total")
         if k == 1:
             rated = rated.withColumn("p", direct + F.col("back") / 256)
@@ -193,91 +209,83 @@ def kneser_ney(docs: DataFrame, order: int = ORDER) -> list[DataFrame]:
     return out
 
 
-def _hashed(lang: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    return mixed(gram.astype(np.uint64) + mixed(lang))
-
+def _tagged(gram, k: int):
+    """N-grams of different orders ``k`` as different numbers."""
+    return gram + (k << 56)
 
-def _lang_hash(names: list[str]) -> np.ndarray:
-    own = words([x.encode() or b"-" for x in names], np.ones(256, dtype=bool) & (np.arange(256) != 10))
-    return own.hashes
 
+class Perplexity:
+    """Scores texts of one language by the counts of all their n-grams.
 
-class _Table:
-    """Values by key: sorted hashes, with an index on their first bits."""
+    ``grams`` are the tagged n-grams of all orders in ascending order, with the
+    columns of :func:`_rated`; ``discounts`` has three numbers per order.
+    """
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
-        self.shift = np.uint64(64 - max(1, int(len(keys)).bit_length()))
-        slots = np.arange(1 << int(64 - int(self.shift)), dtype=np.uint64) << self.shift
-        self.first = np.searchsorted(self.keys, slots)
+    def __init__(self, grams: np.ndarray, n: np.ndarray, total: np.ndarray, discount: np.ndarray, discounts: np.ndarray):
+        self.grams, self.n, self.total, self.discount = grams, n, total, discount
+        # No count, no discount.
+        self.discounts = np.column_stack([np.zeros(len(discounts)), discounts])
+
+    def bits(self, texts: list[bytes]) -> np.ndarray:
+        """Bits per byte of each text by the counts of all others; NaN for one without bytes."""
+        order = len(self.discounts)
+        most = 1 << (62 - 8 * order)
+        if len(texts) > most:
+            return np.concatenate([self.bits(texts[i : i + most]) for i in range(0, len(texts), most)])
+        gram, row = grams(texts, order)
+        if not len(gram):
+            return np.full(len(texts), np.nan)
+        # The distinct n-grams of each text, and how much of their counts is its own.
+        pairs, place, own = np.unique((row << (8 * order)) | gram, return_inverse=True, return_counts=True)
+        steps = []
+        for k in range(order, 0, -1):
+            mask = (1 << (8 * k)) - 1
+            at = np.searchsorted(self.grams, _tagged(pairs & mask, k))
+            n = self.n[at]
+            left = n - own
+            rate = self.discounts[k - 1]
+            kept = rate[np.minimum(left, 3)]
+            context = pairs >> 8
+            begin = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+            size = np.diff(np.append(begin, len(pairs)))
+            total = self.total[at] - np.repeat(np.add.reduceat(own, begin), size)
+            freed = np.add.reduceat(rate[np.minimum(n, 3)] - kept, begin)
+            discount = self.discount[at] - np.repeat(freed, size)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                # An unknown context leaves all to the order below.
+                direct = np.where(total > 0, (left - kept) / total, 0.0)
+                back = np.where(total > 0, discount / total, 1.0)
+            # An n-gram in no other text is one byte less before its suffix.
+            gone = (own > 0) & (left == 0)
+            lower = ((pairs >> (8 * k)) << (8 * (k - 1))) | (pairs & (mask >> 8))
+            pairs, below = np.unique(lower, return_inverse=True)
+            steps.append((direct, back, below))
+            own = np.bincount(below, gone, minlength=len(pairs)).astype(np.int64)
+        p = np.full(len(pairs), 1 / 256)
+        for direct, back, below in reversed(steps):
+            p = direct + back * p[below]
+        count = np.bincount(row, minlength=len(texts))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return -np.bincount(row, np.log2(p)[place], minlength=len(texts)) / count
 
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        """The value of each key, NaN if there is none."""
-        out = np.full(len(keys), np.nan, dtype=np.float32)
-        if not len(self.keys):
-            return out
-        at = self.first[keys >> self.shift]
-        open_at = np.arange(len(keys))
-        while len(open_at):
-            place = np.minimum(at[open_at], len(self.keys) - 1)
-            here = self.keys[place]
-            hit = here == keys[open_at]
-            out[open_at[hit]] = self.values[place[hit]]
-            open_at = open_at[(here < keys[open_at]) & (place < len(self.keys) - 1)]
-            at[open_at] += 1
-        return out
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``text`` as zstandard data: a shuffle writes less of it than by its own compression."""
+    types = dict(docs.dtypes) | {"text": "binary"}
 
-def model_arrays(tables: list[DataFrame], least_share: float = LEAST_SHARE) -> list[dict[str, np.ndarray]]:
-    """Per order the hashes and log2 probabilities of its frequent n-grams, and of their contexts."""
-    out = []
-    for counts in tables:
-        total = counts.agg(F.sum("n")).first()[0] or 0
-        kept = counts.filter(F.col("n") >= total * least_share).select("lang", "gram", "p", "back").toArrow()
-        names = kept.column("lang").to_pylist()
-        known = sorted(set(names))
-        hashes = dict(zip(known, _lang_hash(known).tolist())) if known else {}
-        lang = np.array([hashes[x] for x in names], dtype=np.uint64)
-        gram = kept.column("gram").to_numpy()
-        context, first = np.unique(_hashed(lang, gram >> 8), return_index=True)
-        out.append(
-            {
-                "keys": _hashed(lang, gram),
-                "p": np.log2(kept.column("p").to_numpy()).astype(np.float32),
-                "contexts": context,
-                "back": np.log2(kept.column("back").to_numpy()[first]).astype(np.float32),
-            }
-        )
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3, write_checksum=False).compress
+        for part, texts in slices(batches):
+            packed = pa.array([pack(x) for x in texts], pa.binary())
+            yield part.set_column(part.schema.get_field_index("text"), "text", packed)
 
+    return docs.mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in docs.columns))
 
-class Perplexity:
-    def __init__(self, arrays: list[dict[str, np.ndarray]]):
-        self.orders = [(_Table(a["keys"], a["p"]), _Table(a["contexts"], a["back"])) for a in arrays]
 
-    def bits(self, texts: list[bytes], langs: list[str]) -> np.ndarray:
-        """Bits per byte of each text; NaN for one without bytes."""
-        order = len(self.orders)
-        gram, row = grams(texts, order)
-        lang = _lang_hash(langs)[row]
-        total = np.zeros(len(gram), dtype=np.float64)
-        left = np.arange(len(gram))
-        for k in range(order, 0, -1):
-            found, back = self.orders[k - 1]
-            own = gram[left] & ((1 << (8 * k)) - 1)
-            p = found.get(_hashed(lang[left], own))
-            miss = np.isnan(p)
-            total[left[~miss]] += p[~miss]
-            left, own = left[miss], own[miss]
-            if not len(left):
-                break
-            # An unknown context leaves all to the order below.
-            total[left] += np.nan_to_num(back.get(_hashed(lang[left], own >> 8)), nan=0.0)
-        total[left] -= 8
-        count = np.bincount(row, minlength=len(texts))
-        with np.errstate(invalid="ignore", divide="ignore"):
-            return -np.bincount(row, total, minlength=len(texts)) / count
+def _unpacked(own: pa.Table) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for part, packed in slices(own.to_batches(), limit=SLICE_BYTES // 4):
+        yield part, [unpack(x) for x in packed]
 
 
 def judge(
@@ -288,6 +296,7 @@ def judge(
     lang: str = "lang",
     order: int = ORDER,
     spread: float = SPREAD,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Per row ``doc_id, lang``, the measures, ``base_failed, bits, kept``.
 
@@ -299,28 +308,74 @@ def judge(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("")).alias("lang"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
-    arrays = model_arrays(kneser_ney(chosen.select("lang", "text"), order))
-    shared = docs.sparkSession.sparkContext.broadcast(arrays)
+    tables = counted(chosen.select("lang", "text"), order)
+    known: dict[str, list] = {}
+    for counts in tables:
+        for r in _discounts(counts).collect():
+            known.setdefault(r.lang, []).append((r.d1, r.d2, r.d3))
+    shared = docs.sparkSession.sparkContext.broadcast(known)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     types = dict(chosen.dtypes)
+    size = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    batches = int(size // batch_bytes) + 1
+    batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int")
+    dealt = _packed(chosen.withColumn("batch", batch)).repartition(batches, "lang", "batch")
+
+    def asked(own: pa.Table) -> pa.Table:
+        found, size = [np.empty(0, dtype=np.int64)], 0
+        for _, texts in _unpacked(own):
+            found.append(np.unique(grams(texts, order)[0]))
+            size += len(found[-1])
+            if size > GATHERED:
+                found, size = [np.unique(np.concatenate(found))], 0
+        found = np.concatenate(found)
+        every = []
+        for k in range(order, 0, -1):
+            found = np.unique(found & ((1 << (8 * k)) - 1))
+            every.append(_tagged(found, k))
+        gram = np.concatenate(every)
+        first = [own.column(c)[0].as_py() for c in ("lang", "batch")]
+        return pa.table(
+            {
+                "lang": pa.array([first[0]] * len(gram), pa.string()),
+                "batch": pa.array(np.full(len(gram), first[1], dtype=np.int32)),
+                "gram": pa.array(gram),
+            }
+        )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Perplexity(shared.value)
-        for part, texts in slices(batches):
+    def score(own: pa.Table, answers: pa.Table) -> pa.Table:
+        sort = np.argsort(answers.column("gram").to_numpy())
+        columns = [answers.column(c).to_numpy()[sort] for c in ("gram", "n", "total", "discount")]
+        discounts = shared.value.get(own.column("lang")[0].as_py(), [(0.0,) * 3] * order)
+        model = Perplexity(*columns, np.array(discounts))
+        out = []
+        for part, texts in _unpacked(own):
             measures = base_measures(texts)
-            bits = model.bits(texts, part.column("lang").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    part.column("lang"),
-                    *(pa.array(measures[n].astype(np.int64)) for n in names),
-                    pa.array(bits, pa.float64(), from_pandas=True),
-                ],
-                names=["doc_id", "lang", *names, "bits"],
+            out.append(
+                pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        part.column("lang"),
+                        *(pa.array(measures[n].astype(np.int64)) for n in names),
+                        pa.array(model.bits(texts), pa.float64(), from_pandas=True),
+                    ],
+                    names=["doc_id", "lang", *names, "bits"],
+                )
             )
-
+        return pa.Table.from_batches(out)
+
+    rated = [
+        _rated(counts).select("lang", _tagged(F.col("gram"), k).alias("gram"), "n", "total", "discount")
+        for k, counts in enumerate(tables, 1)
+    ]
+    wanted = dealt.groupBy("lang", "batch").applyInArrow(asked, "lang string, batch int, gram bigint")
+    answers = wanted.join(functools.reduce(DataFrame.unionAll, rated), ["lang", "gram"])
     fields = ", ".join(f"{n} bigint" for n in names)
-    measured = chosen.mapInArrow(run, f"doc_id {types['doc_id']}, lang string, {fields}, bits double")
+    measured = (
+        dealt.groupBy("lang", "batch")
+        .cogroup(answers.groupBy("lang", "batch"))
+        .applyInArrow(score, f"doc_id {types['doc_id']}, lang string, {fields}, bits double")
+    )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = measured.withColumn("base_failed", failed).checkpoint()
     quartiles = F.percentile_approx("bits", [0.25, 0.75], 10_000)

@@ -23,6 +23,8 @@ from laborscope.llm.warc import _Damaged, _parse, read_archives, record, salvage
 from laborscope.sources.storage import work_folder
 from pyspark.sql import functions as F
 
+PROSE = "the of and to in a is that it was for on are as with his they at be this".split()
+
 
 @pytest.fixture(autouse=True)
 def shipped(spark):
@@ -226,3 +228,23 @@ def test_archives(spark):
     assert got["urn:page:7", "response"][0] == 2000 and got["urn:page:9", "response"][0] == 4
     assert read_archives(files.limit(0)).collect() == []
     assert read_archives(write_archives(pages.limit(0), "file://" + work_folder(spark, "none"))).collect() == []
+
+
+def test_bits_leave_out_the_own_text(spark):
+    from laborscope.llm.rules import ORDER
+
+    prose = [(i, " ".join(PROSE[(i * j + j * j) % 20] for j in range(80)), "en") for i in range(30)]
+    # The same junk often in one text: by its own counts it would be the easiest of all.
+    rows = judge(spark.createDataFrame([*prose, (99, "#|@~ " * 2000, "en")], "doc_id bigint, text string, lang string")).collect()
+    bits = {r.doc_id: r.bits for r in rows}
+    assert ORDER == 5 and bits[99] > 2 * max(v for k, v in bits.items() if k != 99)
+
+
+def test_bits_know_every_ngram(spark):
+    # A language with a thousandth of the corpus is judged by all of its 5-grams.
+    small = [(i, "qzxv wkjy " * 12, "xx") for i in range(3)]
+    large = [(100 + i, " ".join(PROSE[(i * j + j * j) % 20] for j in range(1500)), "en") for i in range(60)]
+    docs = spark.createDataFrame(small + large * 6, "doc_id bigint, text string, lang string")
+    for batch in (1 << 24, 30_000):
+        bits = [r.bits for r in judge(docs, batch_bytes=batch).collect() if r.lang == "xx"]
+        assert len(bits) == 3 and max(bits) < 0.2
