@@ -30,7 +30,7 @@ from laborscope.llm.base import query, table
 from laborscope.llm.words import SLICE_BYTES, shingles, slices, words
 
 ORDER = 5
-SPREAD = 10.0
+SPREAD = 3.0
 MIN_WORDS = 50
 #: Bytes of text per batch that is joined to the tables.
 BATCH_BYTES = 1 << 26

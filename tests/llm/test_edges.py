@@ -230,6 +230,18 @@ def test_archives(spark):
     assert read_archives(write_archives(pages.limit(0), "file://" + work_folder(spark, "none"))).collect() == []
 
 
+def test_rules_reject_junk(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    random = np.random.default_rng(5)
+    junk = [
+        (-1 - i, "".join(" \n"[int(x > 40)] if x >= 38 else chr(33 + x) for x in random.integers(0, 42, 1500)), "en")
+        for i in range(3)
+    ]
+    rows = judge(docs.unionAll(spark.createDataFrame(junk, docs.schema))).collect()
+    planted = [r for r in rows if r.doc_id < 0]
+    assert len(planted) == 3 and not any(r.base_failed or r.kept for r in planted)
+
+
 def test_bits_leave_out_the_own_text(spark):
     from laborscope.llm.rules import ORDER
 
