@@ -6,6 +6,10 @@ is scanned like the text itself and unwrapped in turn, until no layer is new;
 a layer already seen is not followed again, so cycles end. A finding in a layer
 is mapped to the piece of the text that it was decoded from.
 
+Texts are unwrapped in windows that end at bytes which no pattern contains, nor any
+escape or base64 run, so that nothing lies over their edges and a layer is a copy of
+its window only. Decompressed data is read as a stream of such windows, to its end.
+
 All patterns are ASCII, so the scan works on UTF-8 bytes; places are turned into
 code points at the end.
 """
@@ -14,13 +18,12 @@ from __future__ import annotations
 
 import base64
 import binascii
-import gzip
 import hashlib
 import io
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -45,8 +48,9 @@ _URL = re.compile(rb"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(rb"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
 
-#: All layers of one text together have at most so many bytes; a guard against decompression bombs.
-MAX_DECODED = 1 << 26
+#: Windows have at least so many bytes, and end after a byte that can't be in any match.
+WINDOW = 1 << 14
+_EDGE = re.compile(rb"[^A-Za-z0-9+/_.=:\"'%\\\s-]")
 
 
 def _marks(kept: bytes) -> bytes:
@@ -57,6 +61,9 @@ _HEX_MARKS = _marks(b"0123456789abcdef")
 _BASE64_MARKS = _marks(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
 
 
+_BROKEN = (OSError, EOFError, zlib.error, zstandard.ZstdError)
+
+
 class Finding(NamedTuple):
     start: int
     kind: int
@@ -145,18 +152,87 @@ def _replaced(layer: _Layer, pattern: re.Pattern, decode: Callable[[bytes], byte
     return _Layer(b"".join(out), begins, spans, exact) if size else None
 
 
-def _expanded(data: bytes, most: int) -> bytes | None:
-    """Decompressed gzip, zlib or zstandard data, or None."""
+class _Inflated(io.RawIOBase):
+    """Decompressed gzip or zlib data, as far as it is intact."""
+
+    def __init__(self, source: io.BufferedIOBase):
+        self.source, self.rest, self.state = source, b"", zlib.decompressobj(47)
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into) -> int:
+        while True:
+            if self.state.eof:
+                # A further member of the same file may follow.
+                self.rest = self.state.unused_data or self.source.read(1 << 16)
+                if self.rest[:2] != b"\x1f\x8b":
+                    return 0
+                self.state = zlib.decompressobj(47)
+            given = self.rest or self.source.read(1 << 16)
+            data = self.state.decompress(given, len(into))
+            self.rest = self.state.unconsumed_tail
+            if data or not (given or self.state.eof):
+                into[: len(data)] = data
+                return len(data)
+
+
+def _decompressed(source: io.BufferedReader) -> io.BufferedReader | None:
+    """A reader of gzip, zlib or zstandard data, None if it is none."""
     try:
-        if data[:2] == b"\x1f\x8b":
-            return gzip.GzipFile(fileobj=io.BytesIO(data)).read(most)
-        if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            return zlib.decompressobj().decompress(data, most)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().stream_reader(data).read(most)
-    except (OSError, EOFError, zlib.error, zstandard.ZstdError):
+        head = source.peek(4)[:4]
+        if head[:2] == b"\x1f\x8b" or (
+            head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0
+        ):
+            inner = io.BufferedReader(_Inflated(source))
+        elif head == b"\x28\xb5\x2f\xfd":
+            inner = io.BufferedReader(zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True))
+        else:
+            return None
+        return inner if inner.peek(1) else None
+    except _BROKEN:
         return None
-    return None
+
+
+def _windows(source: io.BufferedReader) -> Iterator[bytes]:
+    """The data in windows that no match reaches over, up to where it is damaged."""
+    kept, fresh = [], True
+    while fresh:
+        try:
+            fresh = source.read1(1 << 16)
+        except _BROKEN:
+            fresh = b""
+        last = max((m.end() for m in _EDGE.finditer(fresh)), default=0)
+        kept.append(fresh[:last] if fresh else b"")
+        if last or not fresh:
+            whole = b"".join(kept)
+            if whole:
+                yield whole
+            kept = [fresh[last:]]
+        else:
+            kept[-1] = fresh
+
+
+def _innermost(data: bytes) -> tuple[io.BufferedReader, int]:
+    """A reader of the data, decompressed as often as needed, and how often that is."""
+
+    def opened(depth: int) -> io.BufferedReader | None:
+        reader = io.BufferedReader(io.BytesIO(data))
+        for _ in range(depth):
+            reader = reader and _decompressed(reader)
+        return reader
+
+    depth, seen = 0, set()
+    while opened(depth + 1):
+        # Data that decompresses to itself ends here.
+        digest, reader = hashlib.sha1(), opened(depth)
+        for x in _windows(reader):
+            digest.update(x)
+        if digest.digest() in seen:
+            break
+        seen.add(digest.digest())
+        depth += 1
+    return opened(depth), depth
 
 
 def _readable(data: bytes) -> bool:
@@ -167,30 +243,52 @@ def _readable(data: bytes) -> bool:
     return len(text) > 0 and all(c.isprintable() or c.isspace() for c in text)
 
 
-def _unpacked(run: bytes, most: int) -> bytes | None:
-    """The text in a base64 run, decompressed as often as needed, or None."""
+def _decoded(run: bytes) -> bytes | None:
+    """The bytes in a base64 run, or None."""
     body = run.rstrip(b"=").replace(b"-", b"+").replace(b"_", b"/")
     body = body[: len(body) - (len(body) % 4 == 1)]
     try:
-        data = base64.b64decode(body + b"=" * (-len(body) % 4))
+        return base64.b64decode(body + b"=" * (-len(body) % 4))
     except binascii.Error:
         return None
-    seen = set()
-    while (more := _expanded(data, most)) is not None and more not in seen:
-        seen.add(more)
-        data = more
-    return data if _readable(data) else None
 
 
-def find_secrets(text: bytes, max_decoded: int = MAX_DECODED) -> list[Finding]:
+def _kinds(data: bytes, seen: set[bytes]) -> set[int]:
+    """Kinds found in decoded bytes and all their layers; ``seen`` has the windows that are done."""
+    reader, depth = _innermost(data)
+    if not depth and not _readable(data):
+        return set()
+    found = set()
+    for window in _windows(reader):
+        digest = hashlib.sha1(window).digest()
+        if digest not in seen:
+            seen.add(digest)
+            found |= {f.kind for f in find_secrets(window, seen)}
+    return found
+
+
+def find_secrets(text: bytes, seen: set[bytes] | None = None) -> list[Finding]:
     """Findings in the text and its layers, by start, kind and end; places are bytes."""
     found = {(s, k, e): True for k, s, e in _base(text)}
+    start = 0
+    while start < len(text):
+        edge = _EDGE.search(text, start + WINDOW)
+        end = edge.end() if edge else len(text)
+        for begin, kind, stop in _layers(text[start:end], seen):
+            found.setdefault((start + begin, kind, start + stop), False)
+        start = end
+    return [Finding(*x, found[x]) for x in sorted(found)]
+
+
+def _layers(text: bytes, windows: set[bytes] | None) -> set[tuple[int, int, int]]:
+    """Start, kind and end of the findings in all layers of a text, not in itself."""
+    found = set()
     escaped = b"%" in text or b"\\" in text
     if not escaped and b"x" * 16 not in text.translate(_BASE64_MARKS):
-        return [Finding(*x, True) for x in sorted(found)]
+        return found
     root = _Layer(text, [0], [(0, len(text))], [True])
     seen = {hashlib.sha1(text).digest() + repr(root.spans).encode()}
-    work, left = [root], max_decoded
+    work = [root]
     while work:
         layer = work.pop()
         new = []
@@ -200,21 +298,22 @@ def find_secrets(text: bytes, max_decoded: int = MAX_DECODED) -> list[Finding]:
             new.append(_replaced(layer, _UNICODE, _unescape_unicode))
         if b"x" * 16 in layer.text.translate(_BASE64_MARKS):
             for m in _BASE64.finditer(layer.text):
-                inner = _unpacked(m[0], left)
-                if inner:
-                    new.append(_Layer(inner, [0], [layer.root(*m.span())], [False]))
+                begin, stop = layer.root(*m.span())
+                inner = _decoded(m[0])
+                if inner and (key := hashlib.sha1(inner).digest() + repr((begin, stop)).encode()) not in seen:
+                    seen.add(key)
+                    # All that a run shows is mapped to the run.
+                    done = set() if windows is None else windows
+                    found |= {(begin, kind, stop) for kind in _kinds(inner, done)}
         for x in new:
             if x is None or (digest := hashlib.sha1(x.text).digest() + repr(x.spans[:1]).encode()) in seen:
                 continue
-            if len(x.text) > left:
-                continue
             seen.add(digest)
-            left -= len(x.text)
             for kind, start, end in _base(x.text):
                 begin, stop = x.root(start, end)
-                found.setdefault((begin, kind, stop), False)
+                found.add((begin, kind, stop))
             work.append(x)
-    return [Finding(*x, found[x]) for x in sorted(found)]
+    return found
 
 
 def _in_characters(text: bytes, found: list[Finding]) -> list[Finding]:

@@ -260,3 +260,13 @@ def test_bits_know_every_ngram(spark):
     for batch in (1 << 24, 30_000):
         bits = [r.bits for r in judge(docs, batch_bytes=batch).collect() if r.lang == "xx"]
         assert len(bits) == 3 and max(bits) < 0.2
+
+
+def test_layers_of_any_size():
+    secret = b"password%3Dabcdefghijklmnop"
+    long = b"lorem ipsum, dolor. " * 3_500_000
+    assert [f.start for f in find_secrets(long + secret)] == [len(long)]
+    # The last of 80 MB that are expanded, in two steps.
+    inner = gzip.compress(gzip.compress(b"no secret, " * 7_300_000 + b"password=abcdefghijklmnop"))
+    found = find_secrets(b"x " + base64.b64encode(inner))
+    assert [(f.start, f.kind) for f in found] == [(2, 0)]
