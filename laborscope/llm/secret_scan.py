@@ -46,7 +46,10 @@ _KEYWORDS = (b"passw", b"secret", b"token", b"api")
 
 _URL = re.compile(rb"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(rb"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
+_BYTES = re.compile(rb"(?:\\x[0-9A-Fa-f]{2})+")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
+_BASE64_LINE = re.compile(rb"[A-Za-z0-9+/_-]+={0,2}")
+_LINE_END = re.compile(rb"\r?\n[ \t]*")
 
 #: Windows have at least so many bytes, and end after a byte that can't be in any match.
 WINDOW = 1 << 14
@@ -139,7 +142,6 @@ def _replaced(layer: _Layer, pattern: re.Pattern, decode: Callable[[bytes], byte
     for m in pattern.finditer(layer.text):
         try:
             piece = decode(m[0])
-            piece.decode()
         except ValueError:
             continue
         changed = True
@@ -213,8 +215,8 @@ def _windows(source: io.BufferedReader) -> Iterator[bytes]:
             kept[-1] = fresh
 
 
-def _innermost(data: bytes) -> tuple[io.BufferedReader, int]:
-    """A reader of the data, decompressed as often as needed, and how often that is."""
+def _innermost(data: bytes) -> io.BufferedReader:
+    """A reader of the data, decompressed as often as needed."""
 
     def opened(depth: int) -> io.BufferedReader | None:
         reader = io.BufferedReader(io.BytesIO(data))
@@ -232,15 +234,7 @@ def _innermost(data: bytes) -> tuple[io.BufferedReader, int]:
             break
         seen.add(digest.digest())
         depth += 1
-    return opened(depth), depth
-
-
-def _readable(data: bytes) -> bool:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return False
-    return len(text) > 0 and all(c.isprintable() or c.isspace() for c in text)
+    return opened(depth)
 
 
 def _decoded(run: bytes) -> bytes | None:
@@ -253,13 +247,45 @@ def _decoded(run: bytes) -> bytes | None:
         return None
 
 
+def _base64_runs(text: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """Start, end and characters of base64 runs, alone and as blocks of lines.
+
+    A block has lines of one length, the last of which may be shorter.
+    """
+    at = 0
+    for m in _BASE64.finditer(text):
+        yield (*m.span(), m[0])
+        if m.start() < at:
+            continue
+        lines, end = [m[0]], m.end()
+        while not lines[-1].endswith(b"=") and (gap := _LINE_END.match(text, end)):
+            line = _BASE64_LINE.match(text, gap.end())
+            if not line or len(line[0]) > len(lines[0]):
+                break
+            lines.append(line[0])
+            end = line.end()
+            if len(line[0]) < len(lines[0]):
+                break
+        if len(lines) > 1:
+            yield m.start(), end, b"".join(lines)
+            # The short last line may itself begin another block.
+            at = end - len(lines[-1]) if len(lines[-1]) < len(lines[0]) else end
+
+
+def _escaped_bytes(text: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """Start, end and bytes of escape runs that stand for compressed data."""
+    for pattern, mark in ((_URL, b"%"), (_BYTES, b"\\x")):
+        if mark in text:
+            for m in pattern.finditer(text):
+                data = bytes.fromhex(m[0].replace(mark, b"").decode())
+                if _decompressed(io.BufferedReader(io.BytesIO(data))):
+                    yield (*m.span(), data)
+
+
 def _kinds(data: bytes, seen: set[bytes]) -> set[int]:
     """Kinds found in decoded bytes and all their layers; ``seen`` has the windows that are done."""
-    reader, depth = _innermost(data)
-    if not depth and not _readable(data):
-        return set()
     found = set()
-    for window in _windows(reader):
+    for window in _windows(_innermost(data)):
         digest = hashlib.sha1(window).digest()
         if digest not in seen:
             seen.add(digest)
@@ -296,15 +322,16 @@ def _layers(text: bytes, windows: set[bytes] | None) -> set[tuple[int, int, int]
             new.append(_replaced(layer, _URL, _unescape_url))
         if b"\\" in layer.text:
             new.append(_replaced(layer, _UNICODE, _unescape_unicode))
+        runs = list(_escaped_bytes(layer.text))
         if b"x" * 16 in layer.text.translate(_BASE64_MARKS):
-            for m in _BASE64.finditer(layer.text):
-                begin, stop = layer.root(*m.span())
-                inner = _decoded(m[0])
-                if inner and (key := hashlib.sha1(inner).digest() + repr((begin, stop)).encode()) not in seen:
-                    seen.add(key)
-                    # All that a run shows is mapped to the run.
-                    done = set() if windows is None else windows
-                    found |= {(begin, kind, stop) for kind in _kinds(inner, done)}
+            runs += [(a, b, inner) for a, b, run in _base64_runs(layer.text) if (inner := _decoded(run))]
+        for a, b, inner in runs:
+            begin, stop = layer.root(a, b)
+            if (key := hashlib.sha1(inner).digest() + repr((begin, stop)).encode()) not in seen:
+                seen.add(key)
+                # All that a run shows is mapped to the run.
+                done = set() if windows is None else windows
+                found |= {(begin, kind, stop) for kind in _kinds(inner, done)}
         for x in new:
             if x is None or (digest := hashlib.sha1(x.text).digest() + repr(x.spans[:1]).encode()) in seen:
                 continue

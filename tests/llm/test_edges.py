@@ -3,10 +3,12 @@
 import base64
 import gzip
 import urllib.parse
+import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from laborscope.llm.backoff import backoff_scores
 from laborscope.llm.base import ship
 from laborscope.llm.decontamination import mark_contamination
@@ -270,3 +272,26 @@ def test_layers_of_any_size():
     inner = gzip.compress(gzip.compress(b"no secret, " * 7_300_000 + b"password=abcdefghijklmnop"))
     found = find_secrets(b"x " + base64.b64encode(inner))
     assert [(f.start, f.kind) for f in found] == [(2, 0)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n  "])
+def test_wrapped_base64(end):
+    plain = b"some words before it, " * 6 + b"token=abcdefghijklmnopq" + b" and more words, " * 9
+    noise = bytes(range(256)) * 3
+    for inner in (plain, gzip.compress(noise + plain), zlib.compress(noise + plain), zstandard.compress(noise + plain)):
+        block = base64.encodebytes(inner).decode().strip().replace("\n", end)
+        data = f"see: {block} !".encode()
+        assert (5, 0, 5 + len(block)) in [(f.start, f.kind, f.end) for f in find_secrets(data)]
+
+
+@pytest.mark.parametrize("mark", ["\x00", "﻿", "​", "\x1b[0m"])
+def test_layers_with_unprintable_characters(mark):
+    data = base64.b64encode(f"{mark} password=abcdefghijklmnop {mark}".encode())
+    assert [(f.start, f.end) for f in find_secrets(data)] == [(0, len(data))]
+
+
+def test_compressed_bytes_in_escapes():
+    packed = gzip.compress(b"password=abcdefghijklmnop, and so on")
+    for form in ("%{:02X}", "\\x{:02x}"):
+        data = b"a " + "".join(form.format(x) for x in packed).encode() + b" z"
+        assert [(f.start, f.kind, f.end) for f in find_secrets(data)] == [(2, 0, len(data) - 2)]
