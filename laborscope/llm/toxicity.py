@@ -1,8 +1,10 @@
 """Toxicity by compression distance with two zstandard dictionaries.
 
-A text is a sequence of word stems (the first ``STEM`` letters in lower case),
-each written as a code of ``CODE`` random bytes, so that a stem compresses well
-only if a dictionary has exactly this stem. The ordinary dictionary has the most
+A text is a sequence of stems: its words in lower case, whole up to ``LONGEST``
+characters and else as overlapping pieces of ``PIECE`` characters through to the end.
+So scripts without spaces are read to the end as well; punctuation and spaces of any
+script end a word. Each stem is written as a code of ``CODE`` random bytes, so that it
+compresses well only if a dictionary has exactly this stem. The ordinary dictionary has the most
 frequent stems of ordinary texts; the toxic one also has the stems that are
 frequent in toxic texts and rare in ordinary ones. Windows of ``WINDOW`` stems
 are compressed with both, and the bytes that the toxic dictionary saves, from a
@@ -15,6 +17,8 @@ have a fixed size.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,7 +32,8 @@ from laborscope.llm.base import annotate, query, table
 from laborscope.llm.quality import labelled_sample, remainder
 from laborscope.llm.words import LETTERS, mixed, slices, words
 
-STEM = 4
+LONGEST = 12
+PIECE = 4
 CODE = 16
 WINDOW = 8
 LEVEL = 1
@@ -42,6 +47,12 @@ TIMES = 10
 THRESHOLD = 0.7
 
 
+#: Characters outside ASCII that are not part of a word: spaces, punctuation, symbols and controls.
+_SEPARATORS = re.compile(
+    "[" + "".join(re.escape(c) for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c)[0] in "ZPS") + "]+"
+)
+
+
 @dataclass
 class ToxicityModel:
     ordinary: bytes
@@ -52,8 +63,32 @@ class ToxicityModel:
 
 def stems(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Stem hashes of all texts one after another, and where each text begins."""
-    w = words(texts, LETTERS, lower=True, characters=STEM)
-    return w.hashes, w.first
+    spaced = [x if x.isascii() else _SEPARATORS.sub(" ", x.decode(errors="replace")).encode() for x in texts]
+    w = words(spaced, LETTERS, lower=True)
+    # Where the characters of each word begin.
+    heads = np.flatnonzero((w.buffer & 0xC0) != 0x80)
+    low, high = np.searchsorted(heads, w.starts), np.searchsorted(heads, w.ends)
+    long = high - low > LONGEST
+    if not long.any():
+        return w.hashes, w.first
+    count = np.where(long, high - low - PIECE + 1, 1)
+    word = np.repeat(np.arange(len(count)), count)
+    begin = np.cumsum(count) - count
+    hashes = w.hashes[word]
+    piece = np.flatnonzero(long[word])
+    at = low[word[piece]] + piece - begin[word[piece]]
+    # A character is at most four bytes; together with its neighbours it makes a piece.
+    ends = np.append(heads, len(w.buffer))
+    value = np.zeros(len(heads), dtype=np.uint64)
+    for i in range(4):
+        place = np.minimum(heads + i, len(w.buffer) - 1)
+        inside = heads + i < ends[1:]
+        value = np.where(inside, (value << np.uint64(8)) | w.buffer[place], value)
+    total = np.zeros(len(piece), dtype=np.uint64)
+    for i in range(PIECE):
+        total = mixed(total + value[at + i] + np.uint64(i + 1))
+    hashes[piece] = total
+    return hashes, np.concatenate([[0], np.cumsum(count)])[w.first]
 
 
 def codes(hashes: np.ndarray) -> bytes:

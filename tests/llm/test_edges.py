@@ -20,7 +20,7 @@ from laborscope.llm.rules import judge
 from laborscope.llm.secret_scan import find_secrets, redact, redact_secrets, scan_secrets
 from laborscope.llm.substrings import remove_repeats
 from laborscope.llm.tokens import PieceTokenizer
-from laborscope.llm.toxicity import score_toxicity, toxicity_model
+from laborscope.llm.toxicity import score_toxicity, stems, toxicity_model
 from laborscope.llm.warc import _Damaged, _parse, read_archives, record, salvage, write_archives
 from laborscope.sources.storage import work_folder
 from pyspark.sql import functions as F
@@ -295,3 +295,21 @@ def test_compressed_bytes_in_escapes():
     for form in ("%{:02X}", "\\x{:02x}"):
         data = b"a " + "".join(form.format(x) for x in packed).encode() + b" z"
         assert [(f.start, f.kind, f.end) for f in find_secrets(data)] == [(2, 0, len(data) - 2)]
+
+
+def test_stems_read_every_character():
+    def of(text):
+        hashes, first = stems([b"before", text.encode(), b"after"])
+        return hashes[first[1] : first[2]].tolist()
+
+    chinese = "".join(chr(0x4E00 + 7 * i) for i in range(40))
+    pieces = of(chinese)
+    assert len(pieces) == 37
+    for i in range(40):
+        # Any one character changes the pieces that it is in, and no other.
+        changed = of(chinese[:i] + "龍" + chinese[i + 1 :])
+        assert [a != b for a, b in zip(pieces, changed)] == [i - 3 <= j <= i for j in range(37)]
+    assert of(chinese[:4] + "，" + chinese[4:8]) == of(chinese[:4] + " " + chinese[4:8])
+    assert of("pathetic") != of("path") and of("idiot") != of("idiom")
+    assert of("Word, word") == of("word word") and len(of("one two")) == 2
+    assert of("") == []
