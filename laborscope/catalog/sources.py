@@ -78,6 +78,20 @@ def sc3_multiline_csv_split(spark, folder):
     return _texts(read_large_csv(spark, target))
 
 
+@query(TEXTS_SQL.replace("text", "(text || chr(13))") + " UNION ALL " + TEXTS_SQL)
+def sc3_mixed_line_ends(spark, folder):
+    """Files with LF and with CR LF in one folder; in the first, every text ends in a quoted CR."""
+    target = work_folder(spark, "csv")
+    texts = table(spark, folder, "documents", "doc_id", "text")
+    quoted = texts.select("doc_id", F.concat("text", F.lit("\r")).alias("text"))
+    for part, ends in ((quoted, "\n"), (texts, "\r\n")):
+        record = F.concat_ws(",", F.col("doc_id").cast("string"), F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"')))
+        # The header is a line of its own in a file of its own.
+        lines = part.select(F.concat(F.lit(f"doc_id,text{ends[:-1]}\n"), record, F.lit(ends[:-1])).alias("value"))
+        lines.write.mode("append").text(target)
+    return _texts(read_csv_text(spark, target, multiline=True))
+
+
 @query("SELECT o_orderkey, o_orderpriority FROM orders")
 def sc4_parquet_projection(spark, folder):
     return table(spark, folder, "orders", "o_orderkey", "o_orderpriority")

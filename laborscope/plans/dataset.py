@@ -14,6 +14,7 @@ from laborscope.sources import (
     read_complete_parquet,
     read_csv_text,
 )
+from laborscope.sources.files import file_ordinals, input_files
 
 KEY = "job_link"
 
@@ -37,6 +38,7 @@ class JobDataset:
     prepared_summary: str | None = None
     unique_folder: str | None = None
     _scans: dict[str, DataFrame] = field(default_factory=dict, init=False, repr=False, compare=False)
+    _ordinals: dict[str, DataFrame] = field(default_factory=dict, init=False, repr=False, compare=False)
 
     def path(self, name: str) -> str:
         return f"{self.folder.rstrip('/')}/{name}"
@@ -54,7 +56,10 @@ class JobDataset:
             )
         if name not in self._scans:
             self._scans[name] = self.spark.read.parquet(self.path(name))
-        return project(self._scans[name], columns, source_order=ordered)
+        scan = self._scans[name]
+        if ordered and name not in self._ordinals:
+            self._ordinals[name] = file_ordinals(self.spark, input_files(scan))
+        return project(scan, columns, source_order=ordered, ordinals=self._ordinals.get(name))
 
     def postings(self, *columns: str, ordered: bool = True) -> DataFrame:
         """All columns, or the key and the given ones."""

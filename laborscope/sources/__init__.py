@@ -1,11 +1,11 @@
 from laborscope.sources.convert import ROWS_PER_PART, csv_to_parquet, write_parts  # noqa: F401
+from laborscope.sources.csv_text import read_csv_text  # noqa: F401
 from laborscope.sources.files import (  # noqa: F401
     PART_GLOB,
     SOURCE_ORDER,
     per_file,
     project,
     read_complete_parquet,
-    read_csv_text,
     read_parquet,
     text_schema,
 )

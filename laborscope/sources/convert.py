@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from laborscope.sources import storage
-from laborscope.sources.files import PART_GLOB, read_csv_text
+from laborscope.sources.csv_text import read_csv_text
+from laborscope.sources.files import PART_GLOB
 from laborscope.sources.large_csv import read_large_csv
 
 # Fixed values

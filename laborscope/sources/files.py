@@ -1,10 +1,12 @@
-"""Scans of CSV and Parquet."""
+"""Scans of Parquet, and what they share with those of CSV: source order and reader options."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -18,43 +20,67 @@ _NO_NULL_TEXT = "\x01no null text\x01"
 
 SOURCE_ORDER = "source_order"
 
-_DIGITS = 20
+# Names that no scanned column should have.
+_FILE, _WITHIN = "_source_file", "_source_within"
 
 
-def file_order() -> Column:
-    """The file's path with every number in it as wide as the widest, so that text order is number order.
+def input_files(scan: DataFrame) -> list[str]:
+    """Files of a scan in source order: numbers in paths compare as numbers, ties as text."""
+    # One string, so that the list costs one call.
+    joined = scan.sparkSession._jvm.org.apache.hadoop.util.StringUtils.join("\n", scan._jdf.inputFiles())
+    files = [f for f in joined.split("\n") if f]
 
-    Writers pad task numbers to five digits and part counters to three, and
-    then go on with more: ``part-99999`` comes before ``part-100000``.
+    def place(path: str) -> tuple:
+        parts = re.split("([0-9]+)", path)
+        return [int(x) if i % 2 else x for i, x in enumerate(parts)], path
+
+    return sorted(files, key=place)
+
+
+def file_ordinals(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """``_source_file, file``: each file's number, as a table whose size Spark knows.
+
+    A path without a host is in it in both spellings, ``file:/a`` and ``file:///a``.
+    """
+    numbers = {}
+    for i, f in enumerate(files):
+        numbers[f] = numbers[re.sub("^([^:/]+):///", r"\1:/", f)] = i
+    return spark.createDataFrame(
+        pa.table({_FILE: pa.array(numbers.keys(), pa.string()), "file": pa.array(numbers.values(), pa.int64())})
+    )
+
+
+def with_position(
+    scan: DataFrame, selected: dict[str, Column], within: Column, ordinals: DataFrame | None = None
+) -> DataFrame:
+    """``selected`` columns of a scan and ``source_order``: the file's number and ``within``, a struct.
+
+    The numbers are looked up by path, so no path is taken apart or compared per row.
     """
-    wide = F.regexp_replace(F.col("_metadata.file_path"), r"(\d+)", "0" * _DIGITS + "$1")
-    return F.regexp_replace(wide, rf"\d*(\d{{{_DIGITS}}})", "$1")
+    if ordinals is None:
+        ordinals = file_ordinals(scan.sparkSession, input_files(scan))
+    placed = scan.select(
+        *(c.alias(n) for n, c in selected.items()),
+        F.col("_metadata.file_path").alias(_FILE),
+        within.alias(_WITHIN),
+    )
+    unknown = F.raise_error(F.lit("a file is not in the list of the scan")).cast("bigint")
+    numbered = placed.join(ordinals.withColumnRenamed("file", "_source_number"), _FILE, "left")
+    position = F.struct(
+        F.coalesce(F.col("_source_number"), unknown).alias("file"),
+        *(F.col(f"{_WITHIN}.{c}").alias(c) for c in placed.schema[_WITHIN].dataType.fieldNames()),
+    )
+    return numbered.select(*(F.col(f"`{n}`") for n in selected), position.alias(SOURCE_ORDER))
 
 
 def text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
 
 
-def read_csv_text(
-    spark: SparkSession,
-    path: str | Sequence[str],
-    columns: Sequence[str] | None = None,
-    *,
-    multiline: bool = False,
-    missing: str = "distinct",
-    infer_types: bool = False,
-    strict: bool = False,
-    source_order: bool = False,
-) -> DataFrame:
-    """Scan CSV with a header; every field stays text, also ``NA`` and ``null``.
-
-    ``missing`` says what an absent field becomes: ``"distinct"`` keeps an
-    unquoted empty field as null and a quoted one as ``""``, ``"null"`` makes
-    both null, ``"blank"`` makes both ``""``. ``multiline`` accepts quoted line
-    breaks of any kind and keeps them, one task per file; lines may end in LF or
-    CRLF. ``strict`` fails on a record with more or fewer fields than the
-    header. ``source_order`` adds a sortable position column.
-    """
+def csv_reader(
+    spark: SparkSession, missing: str, *, multiline: bool = False, infer_types: bool = False
+) -> DataFrameReader:
+    """A reader for CSV with a header and doubled quotes; see :func:`read_csv_text` for ``missing``."""
     if missing not in ("distinct", "null", "blank"):
         raise ValueError("missing must be 'distinct', 'null' or 'blank'")
     reader = (
@@ -69,44 +95,24 @@ def read_csv_text(
     if multiline:
         # Any other separator would change the line breaks inside of fields.
         reader = reader.option("lineSep", "\n")
-    if strict:
-        reader = reader.option("mode", "FAILFAST").option("columnPruning", False)
-    df = reader.csv(path if isinstance(path, str) else list(path))
-    fields = {c: F.col(f"`{c}`") for c in df.columns}
-    if multiline and df.columns and df.columns[-1].endswith("\r"):
-        # Lines end in CRLF: its first half is left on the last field.
-        last = fields.pop(df.columns[-1])
-        bare = F.regexp_replace(last, "\r$", "")
-        if missing != "blank":
-            bare = F.when(bare != "", bare)
-        fields[df.columns[-1][:-1]] = bare.alias(df.columns[-1][:-1])
-    names = list(columns or fields)
-    selected = [fields[c] for c in names]
-    if missing == "blank" and not infer_types:
-        selected = [F.coalesce(c, F.lit("")).alias(n) for c, n in zip(selected, names)]
-    if source_order:
-        # Rows of one block are read in order by one task.
-        position = F.struct(
-            file_order().alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        )
-        selected.append(position.alias(SOURCE_ORDER))
-    return df.select(*selected)
+    return reader
 
 
 def project(
-    scan: DataFrame, columns: Sequence[str] | None = None, *, source_order: bool = False
+    scan: DataFrame,
+    columns: Sequence[str] | None = None,
+    *,
+    source_order: bool = False,
+    ordinals: DataFrame | None = None,
 ) -> DataFrame:
-    """Columns of a Parquet scan, with the position of the row if wanted."""
-    selected = [F.col(f"`{c}`") for c in columns or scan.columns]
-    if source_order:
-        position = F.struct(
-            file_order().alias("file"),
-            F.col("_metadata.row_index").alias("row"),
-        )
-        selected.append(position.alias(SOURCE_ORDER))
-    return scan.select(*selected)
+    """Columns of a Parquet scan, with the position of the row if wanted.
+
+    ``ordinals`` are the scan's :func:`file_ordinals`, if they are known already.
+    """
+    selected = {c: F.col(f"`{c}`") for c in columns or scan.columns}
+    if not source_order:
+        return scan.select(*selected.values())
+    return with_position(scan, selected, F.struct(F.col("_metadata.row_index").alias("row")), ordinals)
 
 
 def read_parquet(

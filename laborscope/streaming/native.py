@@ -16,7 +16,7 @@ from laborscope.functions import DEFAULT_SEPARATOR, has_text, not_empty, text_le
 from laborscope.operators.ranking import count_by
 from laborscope.operators.textstats import tokens
 from laborscope.sources import storage
-from laborscope.sources.files import SOURCE_ORDER, file_order
+from laborscope.sources.files import SOURCE_ORDER
 
 # Sub-keys a repeated key is first deduplicated under.
 SPREAD = 32
@@ -32,7 +32,11 @@ def stream_parquet(
     *,
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Read Parquet files as they arrive, with their position as ``source_order``."""
+    """Read Parquet files as they arrive, with their position as ``source_order``.
+
+    Files keep coming, so none has a number: they are ordered by when they were written,
+    then by path. The file source takes them in that order too.
+    """
     schema = schema or spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
@@ -40,7 +44,8 @@ def stream_parquet(
     if storage.is_file(spark, path):
         path = f"{path[:-1]}[{path[-1]}]"  # a stream takes a folder or a pattern
     position = F.struct(
-        file_order().alias("file"),
+        F.col("_metadata.file_modification_time").alias("arrived"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("row"),
     )
     return reader.parquet(path).select("*", position.alias(SOURCE_ORDER))

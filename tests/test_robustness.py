@@ -30,11 +30,47 @@ def test_line_breaks_are_kept(spark, tmp_path, values):
 
 def test_stray_quotes_lose_nothing(spark, tmp_path, values):
     path = written(tmp_path / "a.csv", STRAY)
-    table = read_csv_text(spark, path, multiline=True, strict=True)
-    assert sorted(values(table)) == [("a", '5" pipe'), ("b", "t"), ("c", "q\nr"), ("d", "u")]
-    # The splitting reader asks for RFC 4180 and says so.
-    with pytest.raises(Exception, match="MALFORMED"):
-        read_large_csv(spark, path).collect()
+    for table in (read_csv_text(spark, path, multiline=True, strict=True), read_large_csv(spark, path)):
+        assert sorted(values(table)) == [("a", '5" pipe'), ("b", "t"), ("c", "q\nr"), ("d", "u")]
+
+
+def test_line_ends_are_told_per_record(spark, tmp_path, values):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    written(folder / "1.csv", 'k,v\na,x\nb,"q\r"\nc,"r\r\ns"\nd,y\r\n')
+    written(folder / "2.csv", 'k,v\r\ne,x\r\nf,"q\r"\r\ng,"z\r"\nh,\r\ni,""\r\n')
+    expected = [
+        ("a", "x"), ("b", "q\r"), ("c", "r\r\ns"), ("d", "y"),
+        ("e", "x"), ("f", "q\r"), ("g", "z\r"), ("h", None), ("i", ""),
+    ]
+    for read in (lambda **o: read_csv_text(spark, str(folder), multiline=True, **o), lambda **o: read_large_csv(spark, str(folder), **o)):
+        table = read(source_order=True)
+        assert values(table.orderBy(SOURCE_ORDER), "k", "v") == expected
+    for record in ("j\r\n", "j,k,l\r\n"):
+        wrong = written(tmp_path / "wrong.csv", "k,v\n" + record)
+        with pytest.raises(Exception, match="MALFORMED"):
+            read_csv_text(spark, wrong, multiline=True, strict=True).collect()
+        assert values(read_csv_text(spark, wrong, multiline=True), "k") == [("j",)]
+
+
+def test_all_readers_take_files_in_number_order(spark, tmp_path, values):
+    names = ["part-2", "part-01", "part-1", "part-99999", "part-100000", "part 3 %41 é", "p+q"]
+    for i, name in enumerate(names):
+        written(tmp_path / f"{name}.csv", f"k,n\nsame,{name}\n")
+        row = spark.createDataFrame([("same", name)], "k string, n string")
+        row.coalesce(1).write.parquet(str(tmp_path / "parquet" / name))
+    # Equal numbers go by the path as it is.
+    order = ["p+q", "part 3 %41 é", "part-01", "part-1", "part-2", "part-99999", "part-100000"]
+    csv = str(tmp_path / "*.csv")
+    parquet = [str(tmp_path / "parquet" / n) for n in names]
+    for table in (
+        read_csv_text(spark, csv, source_order=True),
+        read_csv_text(spark, csv, multiline=True, source_order=True),
+        read_large_csv(spark, csv, source_order=True),
+        read_parquet(spark, parquet, source_order=True),
+    ):
+        assert values(table.orderBy(SOURCE_ORDER), "n") == [(n,) for n in order]
+        assert values(keep_first(table, "k", SOURCE_ORDER), "n") == [("p+q",)]
 
 
 @pytest.mark.parametrize("record", ["a", "a,b,c"])
