@@ -4,11 +4,13 @@ A text is a sequence of stems: its words in lower case, whole up to ``LONGEST``
 characters and else as overlapping pieces of ``PIECE`` characters through to the end.
 So scripts without spaces are read to the end as well; punctuation and spaces of any
 script end a word. Each stem is written as a code of ``CODE`` random bytes, so that it
-compresses well only if a dictionary has exactly this stem. The ordinary dictionary has the most
-frequent stems of ordinary texts; the toxic one also has the stems that are
-frequent in toxic texts and rare in ordinary ones. Windows of ``WINDOW`` stems
-are compressed with both, and the bytes that the toxic dictionary saves, from a
-calibrated threshold on, give the score.
+compresses well only if a dictionary has exactly this stem.
+
+There is a dictionary for each class, made by one rule: the stems that its own texts have
+and that are rare in the other's, after the frequent stems of all texts, which are the same
+in both. Windows of ``WINDOW`` stems are compressed with both. The bytes that the toxic
+dictionary saves against the ordinary one, in windows in which it saves a calibrated
+number or more, give the score.
 
 The dictionaries are trained on a bounded sample of labelled rows; the threshold
 and the score on each half of it, with the dictionaries of the other half. All
@@ -17,7 +19,7 @@ have a fixed size.
 
 from __future__ import annotations
 
-import re
+import functools
 import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -39,18 +41,19 @@ WINDOW = 8
 LEVEL = 1
 #: At most so many labelled texts of each class are learnt from.
 SAMPLE_PER_CLASS = 2000
-ORDINARY_STEMS = 2000
-TOXIC_STEMS = 1000
-#: A toxic stem is in this share of toxic texts, and so many times as often as in ordinary ones.
+#: Frequent stems of all texts, and stems of one class, in a dictionary.
+COMMON_STEMS = 2000
+CLASS_STEMS = 1000
+#: A stem of a class is in this share of its texts, and so many times as often as in the other's.
 LEAST_SHARE = 0.005
 TIMES = 10
 THRESHOLD = 0.7
 
 
-#: Characters outside ASCII that are not part of a word: spaces, punctuation, symbols and controls.
-_SEPARATORS = re.compile(
-    "[" + "".join(re.escape(c) for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c)[0] in "ZPS") + "]+"
-)
+@functools.cache
+def _separators() -> dict[int, str]:
+    """Characters outside ASCII that are not part of a word (spaces, punctuation, symbols), each to a space."""
+    return {c: " " for c in range(0x80, 0x110000) if unicodedata.category(chr(c))[0] in "ZPS"}
 
 
 @dataclass
@@ -63,7 +66,8 @@ class ToxicityModel:
 
 def stems(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Stem hashes of all texts one after another, and where each text begins."""
-    spaced = [x if x.isascii() else _SEPARATORS.sub(" ", x.decode(errors="replace")).encode() for x in texts]
+    table = _separators()
+    spaced = [x if x.isascii() else x.decode(errors="replace").translate(table).encode() for x in texts]
     w = words(spaced, LETTERS, lower=True)
     # Where the characters of each word begin.
     heads = np.flatnonzero((w.buffer & 0xC0) != 0x80)
@@ -124,24 +128,31 @@ def evidence(saved: np.ndarray, count: int, least: int) -> tuple[float, float]:
 
 
 def _dictionaries(texts: list[bytes], toxic: np.ndarray) -> tuple[bytes, bytes]:
+    """Codes of the stems for ordinary and for toxic texts, the most frequent last, where they cost least."""
     hashes, first = stems(texts)
     row = np.repeat(np.arange(len(texts)), np.diff(first))
-    ordinary, frequency = np.unique(hashes[~toxic[row]], return_counts=True)
-    order = np.lexsort((ordinary, -frequency))[:ORDINARY_STEMS]
     # Texts of each class that have a stem.
     both = np.unique(np.column_stack([hashes, row.astype(np.uint64)]), axis=0)
     known, number = np.unique(both[:, 0], return_inverse=True)
-    of_class = toxic[both[:, 1].astype(np.int64)]
-    n1 = np.bincount(number[of_class], minlength=len(known))
-    n0 = np.bincount(number[~of_class], minlength=len(known))
-    t1, t0 = toxic.sum(), (~toxic).sum()
-    excess = (n1 >= np.maximum(3, LEAST_SHARE * t1)) & (
-        (n1 + 0.5) * (t0 + 1) >= TIMES * (n0 + 0.5) * (t1 + 1)
-    )
-    at = np.flatnonzero(excess)
-    at = at[np.lexsort((known[at], -n1[at]))][:TOXIC_STEMS]
-    base = codes(ordinary[order][::-1])
-    return base, base + codes(known[at][::-1])
+    of_class = toxic[both[:, 1].astype(np.int64)].astype(np.int64)
+    held = [np.bincount(number[of_class == c], minlength=len(known)) for c in (0, 1)]
+    texts_of = [int((toxic == c).sum()) for c in (0, 1)]
+    typical = []
+    for own, other in ((0, 1), (1, 0)):
+        found = (held[own] >= np.maximum(3, LEAST_SHARE * texts_of[own])) & (
+            (held[own] + 0.5) * (texts_of[other] + 1) >= TIMES * (held[other] + 0.5) * (texts_of[own] + 1)
+        )
+        typical.append(found)
+    # Both classes weigh the same.
+    share = sum(h / max(1, t) for h, t in zip(held, texts_of))
+    shared = np.flatnonzero(~typical[0] & ~typical[1])
+    common = known[shared[np.lexsort((known[shared], -share[shared]))][:COMMON_STEMS]][::-1]
+    out = []
+    for own in (0, 1):
+        at = np.flatnonzero(typical[own])
+        at = at[np.lexsort((known[at], -held[own][at]))][:CLASS_STEMS]
+        out.append(codes(np.concatenate([common, known[at][::-1]])))
+    return out[0], out[1]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:

@@ -313,3 +313,32 @@ def test_stems_read_every_character():
     assert of("pathetic") != of("path") and of("idiot") != of("idiom")
     assert of("Word, word") == of("word word") and len(of("one two")) == 2
     assert of("") == []
+
+
+def test_stems_of_any_script():
+    import time
+    import unicodedata
+
+    from laborscope.llm.toxicity import _separators
+
+    separators = _separators()
+    for c in range(0x80, 0x110000):
+        assert (c in separators) == (unicodedata.category(chr(c))[0] in "ZPS")
+    text = ("Über die größten Straßen fährt täglich ein grüner Zug nach Köln; „schön“ — sagt Jörg. " * 12_000).encode()
+    stems([text[:1000]])
+    began = time.perf_counter()
+    hashes, first = stems([text])
+    assert len(text) > 1_000_000 and time.perf_counter() - began < 1
+    one, _ = stems([text[: len(text) // 12_000]])
+    assert first.tolist() == [0, 12_000 * len(one)] and (hashes[: len(one)] == one).all()
+
+
+def test_dictionaries_follow_one_rule():
+    from laborscope.llm.toxicity import _dictionaries
+
+    plain = [f"the quiet house on the hill {w}".encode() for w in ("calm", "garden") * 20]
+    rude = [f"the quiet house on the hill {w}".encode() for w in ("awful", "nasty") * 20]
+    toxic = np.array([False] * 40 + [True] * 40)
+    a, b = _dictionaries(plain + rude, toxic)
+    c, d = _dictionaries(rude + plain, toxic)
+    assert len(a) == len(b) and (a, b) == (d, c) and a != b
