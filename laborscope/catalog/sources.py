@@ -20,11 +20,12 @@ from laborscope.sources import (
     read_large_csv,
     read_parquet,
     sample_json,
+    total_bytes,
     work_folder,
     write_csv,
     write_parts,
 )
-from laborscope.streaming import run_complete, stream_parquet
+from laborscope.streaming import run_complete, run_update, stream_parquet
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -78,14 +79,17 @@ def sc3_multiline_csv_split(spark, folder):
     return _texts(read_large_csv(spark, target))
 
 
-@query(TEXTS_SQL.replace("text", "(text || chr(13))") + " UNION ALL " + TEXTS_SQL)
+@query(f"""
+    SELECT doc_id, length(text || chr(13)) AS n_chars, sha256(text || chr(13)) AS text_key FROM documents
+    UNION ALL {TEXTS_SQL}""")
 def sc3_mixed_line_ends(spark, folder):
     """Files with LF and with CR LF in one folder; in the first, every text ends in a quoted CR."""
     target = work_folder(spark, "csv")
     texts = table(spark, folder, "documents", "doc_id", "text")
     quoted = texts.select("doc_id", F.concat("text", F.lit("\r")).alias("text"))
     for part, ends in ((quoted, "\n"), (texts, "\r\n")):
-        record = F.concat_ws(",", F.col("doc_id").cast("string"), F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"')))
+        field = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+        record = F.concat(F.col("doc_id").cast("string"), F.lit(","), F.coalesce(field, F.lit("")))
         # The header is a line of its own in a file of its own.
         lines = part.select(F.concat(F.lit(f"doc_id,text{ends[:-1]}\n"), record, F.lit(ends[:-1])).alias("value"))
         lines.write.mode("append").text(target)
@@ -113,6 +117,17 @@ def sc6_batched_scan(spark, folder):
     return run_complete(op.count_by(stream, "event_type"), work_folder(spark, "batched"))
 
 
+@query("SELECT user_id, count(*) AS n, max(value) AS highest FROM events GROUP BY user_id")
+def sc6_batches_by_bytes(spark, folder):
+    """Batches end by bytes, and each adds the users that it has to the table."""
+    target = work_folder(spark, "parts")
+    events = table(spark, folder, "events", "event_id", "user_id", "value")
+    write_parts(events.repartition(16, "event_id"), target)
+    stream = stream_parquet(spark, target, events.schema, bytes_per_trigger=total_bytes(spark, target) // 6 + 1)
+    users = stream.groupBy("user_id").agg(F.count("*").alias("n"), F.max("value").alias("highest"))
+    return run_update(users, ["user_id"], work_folder(spark, "batched"))
+
+
 @query("""
     SELECT CAST(doc_id % 8 AS INTEGER) AS part, count(*) AS rows,
            CAST(sum(len(string_split(text, ', '))) AS BIGINT) AS items

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,37 +18,44 @@ from laborscope.catalog.base import (
     table,
 )
 from laborscope.functions import text_digest
-from laborscope.sources import work_folder
+from laborscope.sources import total_bytes, work_folder
+from laborscope.sources.files import input_files
+from laborscope.sources.storage import set_modified
 from laborscope.streaming import (
     incremental_keep_first,
     incremental_mean_length_by,
     incremental_mean_list_size,
     incremental_token_counts,
     run_append,
-    run_complete,
+    run_update,
     stream_dedup,
     stream_length_totals_by,
     stream_parquet,
     stream_token_counts,
 )
 
-def document_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents in eight files, two per micro-batch, so that keys repeat across batches."""
-    return in_batches(spark, folder, "documents").withColumn("text_key", text_digest("text"))
+#: Batches that the documents come in, and bytes of a file at most.
+BATCHES = 4
+FILE_BYTES = 32 * 1024 * 1024
 
 
-FILES = 8
+def document_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents in files by ascending id, a quarter of the bytes per batch, so that keys repeat across batches."""
+    return in_batches(spark, folder, "documents").withColumn("text_key", text_digest("text"))
 
 
 def in_batches(spark: SparkSession, folder: str, name: str, key: str = "doc_id") -> DataFrame:
-    """A stream of all rows in files by ascending key, written one after another as a job would find them."""
+    """A stream of all rows in files by ascending key, dated one after another, in batches of bounded bytes."""
     rows = table(spark, folder, name)
-    low, high = rows.agg(F.min(key), F.max(key)).first()
+    size = total_bytes(spark, f"{folder}/{name}.parquet")
+    files = max(2 * BATCHES, -(-size // FILE_BYTES))
     target = work_folder(spark, f"{name}-parts")
-    number = F.coalesce(F.floor((F.col(key) - F.lit(low)) * FILES / F.lit(high - low + 1)), F.lit(0))
-    for i in range(FILES):
-        rows.filter(number == i).coalesce(1).write.mode("append").parquet(target)
-    return stream_parquet(spark, target, rows.schema, files_per_trigger=2)
+    rows.repartitionByRange(files, key).sortWithinPartitions(key).write.parquet(target)
+    written = input_files(spark.read.parquet(target))
+    now = int(time.time() * 1000)
+    for i, file in enumerate(written):
+        set_modified(spark, file, now - 1000 * (len(written) - i))
+    return stream_parquet(spark, target, rows.schema, bytes_per_trigger=total_bytes(spark, target) // BATCHES + 1)
 
 
 @query("SELECT DISTINCT sha256(text) AS text_key FROM documents")
@@ -67,7 +76,7 @@ def in1_incremental_keep_first(spark, folder):
 def in2_stream_token_counts(spark, folder):
     stream = document_stream(spark, folder)
     counts = stream_token_counts(stream, "text_key", "text", spread_by="source_order")
-    result = run_complete(counts, work_folder(spark, "stream-tokens"))
+    result = run_update(counts, ["token"], work_folder(spark, "stream-tokens"))
     return op.rank_counts(result, "token").limit(20)
 
 
@@ -83,8 +92,9 @@ def in2_incremental_token_counts(spark, folder):
 def in3_stream_mean_length_by(spark, folder):
     labels = op.first_by_key(quality_labels(spark, folder), "doc_id", ["quality"], "doc_id")
     stream = in_batches(spark, folder, "documents")
-    totals = stream_length_totals_by(stream, labels, "doc_id", "text", "quality", "source_order")
-    return op.mean_from_totals(run_complete(totals, work_folder(spark, "stream-lengths")), "quality")
+    target = work_folder(spark, "stream-lengths")
+    totals = stream_length_totals_by(stream, labels, "doc_id", "text", "quality", target)
+    return op.mean_from_totals(run_update(totals, ["quality"], target), "quality")
 
 
 @query(MEAN_LENGTH_SQL)

@@ -32,6 +32,23 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if it doesn't exist."""
+    fs, target = _locate(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, or a file."""
+    fs, target = _locate(spark, path)
+    fs.delete(target, True)
+
+
+def set_modified(spark: SparkSession, path: str, milliseconds: int) -> None:
+    fs, target = _locate(spark, path)
+    fs.setTimes(target, milliseconds, -1)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small text file, such as a completion marker."""
     fs, target = _locate(spark, path)

@@ -7,6 +7,7 @@ from laborscope.streaming.incremental import (  # noqa: F401
 from laborscope.streaming.native import (  # noqa: F401
     run_append,
     run_complete,
+    run_update,
     stream_dedup,
     stream_length_totals_by,
     stream_parquet,

@@ -1,82 +1,47 @@
 """Incremental variants that keep the first row per key in source order.
 
-Every micro-batch is an ordinary batch job (``foreachBatch``): it keeps its
-first row per key, leaves out keys of earlier batches and adds mergeable
-partial results. All state is Parquet in ``folder``, one sub-folder per batch
-and written anew when a batch is repeated, so a batch counts exactly once.
+Which keys have come is kept in the state store: a batch reads and writes the state
+of its own keys only. What a batch adds goes to a table that is merged when it is read
+(:mod:`laborscope.streaming.versions`), below ``folder``; a repeated batch counts once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from laborscope.functions import DEFAULT_SEPARATOR, list_count
-from laborscope.operators.dedup import Keys, first_by_key
-from laborscope.operators.joins import NULL_SAFE_KEY, null_safe_key
+from laborscope.operators.dedup import Keys
+from laborscope.operators.joins import null_safe_key
 from laborscope.operators.ranking import count_by
 from laborscope.operators.textstats import (
     first_levels,
-    length_totals_by,
+    length_totals,
     mean_from_totals,
     mean_size_over_keys,
     tokens,
 )
-from laborscope.sources import storage
-
-Handler = Callable[[DataFrame, int], None]
-
-
-def _run(stream: DataFrame, handle: Handler, folder: str) -> None:
-    (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-
-
-def _save(df: DataFrame, table: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
-
-
-def _load(spark: SparkSession, table: str, schema: StructType | str) -> DataFrame:
-    empty = spark.createDataFrame([], schema)
-    if not storage.exists(spark, table):
-        return empty
-    return spark.read.schema(empty.schema).parquet(table).select(*empty.columns)
-
-
-def _new_keys(
-    batch: DataFrame, batch_id: int, key: str, columns: Sequence[str], order: Keys, seen: str
-) -> DataFrame:
-    """First row per key of the batch, for keys no earlier batch had."""
-    first = first_by_key(batch, key, columns, order)
-    first = first.select("*", *null_safe_key(first, key))
-    if not storage.exists(batch.sparkSession, seen):
-        return first
-    # With a schema, what a batch that died has left of its folder does not matter.
-    schema = StructType([*first.schema.fields, StructField("batch", IntegerType())])
-    earlier = batch.sparkSession.read.schema(schema).parquet(seen).filter(F.col("batch") < batch_id)
-    return first.join(earlier.select(*NULL_SAFE_KEY), NULL_SAFE_KEY, "left_anti")
+from laborscope.streaming.lookup import joined_levels, write_lookup
+from laborscope.streaming.state import first_rows_per_key, run_batches
+from laborscope.streaming.versions import Versions, summed_per_key
 
 
 def incremental_keep_first(
     stream: DataFrame, key: str, columns: Sequence[str], order: Keys, folder: str
 ) -> DataFrame:
     """The first row per key over all batches so far."""
-    rows = f"{folder}/rows"
     wanted = list(dict.fromkeys([key, *columns]))
+    schema = stream.select(*(F.col(f"`{c}`") for c in wanted)).schema
+    rows = Versions(stream.sparkSession, f"{folder}/rows", schema)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        _save(_new_keys(batch, batch_id, key, columns, order, rows), rows, batch_id)
+        rows.save(batch.filter("_new").select(*(F.col(f"`{c}`") for c in wanted)), batch_id)
 
-    _run(stream, handle, folder)
-    return _load(stream.sparkSession, rows, stream.select(*wanted).schema)
+    run_batches(first_rows_per_key(stream, key, wanted, order), handle, folder, "update")
+    return rows.read()
 
 
 def incremental_token_counts(
@@ -90,17 +55,15 @@ def incremental_token_counts(
     separator: str = DEFAULT_SEPARATOR,
 ) -> DataFrame:
     """Count per list item over the first row per key; rank or cut the result as needed."""
-    seen, counts = f"{folder}/seen", f"{folder}/counts"
+    schema = StructType([StructField(name, StringType()), StructField(count, LongType())])
+    counts = Versions(stream.sparkSession, f"{folder}/counts", schema, summed_per_key([name]))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        new = _new_keys(batch, batch_id, key, [text], order, seen).persist()
-        _save(new.select(*NULL_SAFE_KEY), seen, batch_id)
-        _save(count_by(tokens(new, text, name, separator), name, count), counts, batch_id)
-        new.unpersist()
+        new = batch.filter("_new")
+        counts.save(count_by(tokens(new, text, name, separator), name, count), batch_id)
 
-    _run(stream, handle, folder)
-    partial = _load(stream.sparkSession, counts, f"`{name}` string, `{count}` bigint")
-    return partial.groupBy(name).agg(F.sum(count).alias(count))
+    run_batches(first_rows_per_key(stream, key, [text], order), handle, folder, "update")
+    return counts.read()
 
 
 def incremental_mean_length_by(
@@ -114,20 +77,25 @@ def incremental_mean_length_by(
     count: str = "n",
     mean: str = "mean_length",
 ) -> DataFrame:
-    """Texts and mean length per level; ``levels`` is a static table."""
-    table, totals = f"{folder}/levels", f"{folder}/totals"
-    spark = stream.sparkSession
+    """Texts and mean length per level; ``levels`` is a static table.
+
+    The levels are deduplicated and dealt to buckets once. A batch sums its lengths per
+    key, and reads the buckets that its keys are in.
+    """
+    spark, table = stream.sparkSession, f"{folder}/levels"
     static = first_levels(levels, key, level, order)
-    if not storage.exists(spark, f"{table}/{storage.SUCCESS_MARKER}"):
-        static.write.mode("overwrite").parquet(table)
+    write_lookup(static.select(key, level), key, table)
+    level_type = static.schema[level].dataType
+    names = [StructField(level, level_type), StructField("_n", LongType()), StructField("_total", LongType())]
+    totals = Versions(spark, f"{folder}/totals", StructType(names), summed_per_key([level]))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        known = batch.sparkSession.read.parquet(table)
-        _save(length_totals_by(batch, known, key, text, level), totals, batch_id)
+        joined = joined_levels(length_totals(batch, key, text), key, table)
+        summed = joined.groupBy(level).agg(F.sum("_n").alias("_n"), F.sum("_total").alias("_total"))
+        totals.save(summed, batch_id)
 
-    _run(stream, handle, folder)
-    schema = f"`{level}` {static.schema[level].dataType.simpleString()}, _n bigint, _total bigint"
-    return mean_from_totals(_load(spark, totals, schema), level, count, mean)
+    run_batches(stream, handle, folder)
+    return mean_from_totals(totals.read(), level, count, mean)
 
 
 def incremental_mean_list_size(

@@ -17,30 +17,32 @@ from laborscope.operators.ranking import count_by
 from laborscope.operators.textstats import tokens
 from laborscope.sources import storage
 from laborscope.sources.files import SOURCE_ORDER
+from laborscope.streaming.state import run_batches
+from laborscope.streaming.versions import Versions, latest_per_key
 
 # Sub-keys a repeated key is first deduplicated under.
 SPREAD = 32
 
-# Copies of the static side a spread join makes; it has one narrow row per key.
-JOIN_SPREAD = 8
-
-
 def stream_parquet(
     spark: SparkSession,
     path: str,
     schema: StructType | None = None,
     *,
     files_per_trigger: int | None = None,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Read Parquet files as they arrive, with their position as ``source_order``.
 
     Files keep coming, so none has a number: they are ordered by when they were written,
-    then by path. The file source takes them in that order too.
+    then by path. The file source takes them in that order too. A batch ends before the
+    file that would exceed ``bytes_per_trigger``, so it is bounded whatever the files' number.
     """
     schema = schema or spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     if storage.is_file(spark, path):
         path = f"{path[:-1]}[{path[-1]}]"  # a stream takes a folder or a pattern
     position = F.struct(
@@ -89,32 +91,38 @@ def stream_token_counts(
 
 
 def stream_length_totals_by(
-    stream: DataFrame,
-    levels: DataFrame,
-    key: str,
-    text: str,
-    level: str,
-    spread_by: Column | str | None = None,
-    spread: int = JOIN_SPREAD,
+    stream: DataFrame, levels: DataFrame, key: str, text: str, level: str, folder: str
 ) -> DataFrame:
     """Running ``level, _n, _total`` against a static table with one level per key.
 
-    Merge with ``mean_from_totals``. Only key and length reach the join. With
-    ``spread_by``, a column that differs between the rows of a key, a hot key
-    is joined in up to ``spread`` tasks against copies of the levels.
+    Merge with ``mean_from_totals``. The levels are written below ``folder`` once. Up to
+    Spark's broadcast threshold every task gets them all, and no row is shuffled before
+    the sums, so no key is hot. A larger table is an error:
+    ``incremental_mean_length_by`` takes one of any size.
     """
-    texts = stream.filter(not_empty(text))
-    known = levels.select(key, level).filter(has_text(level))
-    on = [key]
-    if spread_by is not None:
-        on.append("_spread")
-        texts = texts.withColumn("_spread", F.pmod(F.xxhash64(spread_by), F.lit(spread)))
-        copies = F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))
-        known = known.withColumn("_spread", F.explode(copies))
-    joined = texts.select(*on, text_length(text).alias("_length")).join(known, on)
+    spark, path = stream.sparkSession, f"{folder}/levels"
+    if not storage.exists(spark, f"{path}/{storage.SUCCESS_MARKER}"):
+        levels.select(key, level).filter(has_text(level)).write.mode("overwrite").parquet(path)
+    size = storage.total_bytes(spark, path)
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if size > limit:
+        raise ValueError(f"the levels have {size} bytes, more than spark.sql.autoBroadcastJoinThreshold, {limit}")
+    known = F.broadcast(spark.read.parquet(path))
+    texts = stream.filter(not_empty(text)).select(key, text_length(text).alias("_length"))
+    joined = texts.join(known, key)
     return joined.groupBy(level).agg(F.count("*").alias("_n"), F.sum("_length").alias("_total"))
 
 
+def run_update(stream: DataFrame, keys: Sequence[str], folder: str) -> DataFrame:
+    """Process what is available in update mode and return the table written so far.
+
+    A batch writes the rows that it changed; the table has the latest row for each of ``keys``.
+    """
+    table = Versions(stream.sparkSession, f"{folder}/data", stream.schema, latest_per_key(list(keys)))
+    run_batches(stream, table.save, folder, "update")
+    return table.read()
+
+
 def run_append(stream: DataFrame, folder: str) -> DataFrame:
     """Process what is available into Parquet and return the table written so far."""
     (
@@ -130,7 +138,10 @@ def run_append(stream: DataFrame, folder: str) -> DataFrame:
 
 
 def run_complete(stream: DataFrame, folder: str) -> DataFrame:
-    """Process what is available in complete mode and return the last full result."""
+    """Process what is available in complete mode and return the last full result.
+
+    Every batch writes all rows: for small results, such as a handful of groups.
+    """
     latest: list[int] = []
 
     def save(result: DataFrame, batch_id: int) -> None:
