@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Edges per task. A small graph goes through few tasks, so its rounds write few files.
+TASK_EDGES = 200_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component``: the smallest node reachable, for every node on an edge ``a, b``.
@@ -18,20 +21,25 @@ def components(edges: DataFrame) -> DataFrame:
     current = edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(*pair).distinct().checkpoint()
     seen = None
     while True:
-        mark = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first()
-        if mark == seen:
+        mark = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first()
+        if mark == seen or not mark["n"]:
             break
         seen = mark
-        both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # A round gives each edge back at most twice.
+        tasks = 2 * mark["n"] // TASK_EDGES + 1
+        current = current.coalesce(tasks)
+        both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(tasks)
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).coalesce(tasks)
         large = both.join(least, "a").filter("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        small = small.select("a", F.col("m").alias("b")).unionByName(
-            small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.coalesce(tasks).distinct().coalesce(tasks)
+        least = large.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks)
+        small = large.join(least, "a").coalesce(tasks)
+        # Both turned edges of a row at once, so that the join is read once.
+        turned = F.explode(
+            F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
         )
-        current = small.filter("a <> b").distinct().checkpoint()
+        small = small.select(turned.alias("x")).select("x.a", "x.b").filter("a <> b")
+        current = small.distinct().coalesce(tasks).checkpoint()
     nodes = current.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     roots = nodes.select(F.col("component").alias("node"), "component").distinct()
     return nodes.unionByName(roots)

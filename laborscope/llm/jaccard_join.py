@@ -32,8 +32,10 @@ from laborscope.llm.words import NOT_SPACE, mixed, shingles, slices, words
 
 SHINGLE = 4
 PERCENT = 85
-#: A sketch has this many 64-bit words, doubled for each doubling beyond this many shingles.
+#: A sketch has at most this many 64-bit words, halved for each halving below ``SKETCHED_FEW``
+#: shingles, and doubled for each doubling beyond ``SKETCHED``.
 SKETCH_WORDS = 16
+SKETCHED_FEW = 512
 SKETCHED = 2000
 #: Shingles per bucket of signatures, and per block of a family.
 PER_BUCKET = 1_000_000
@@ -82,6 +84,8 @@ def _parity(elements: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
 
 
 def sketch_words(size: int) -> int:
+    if size <= SKETCHED_FEW:
+        return max(2, SKETCH_WORDS >> (SKETCHED_FEW // max(1, size)).bit_length() - 1)
     return SKETCH_WORDS << max(0, (size - 1) // SKETCHED).bit_length()
 
 
@@ -248,8 +252,7 @@ def _families(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     possible = (F.col("bits") * (100 + percent) <= total * (100 - percent)) & (
         100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     )
-    edges = known.filter(near | possible).select("a", "b")
-    first = components(edges)
+    first = components(known.filter(near | possible).select("a", "b")).checkpoint()
     family = F.coalesce("component", "member")
     members = (
         lists.filter(F.col("b").isNull())
@@ -271,8 +274,16 @@ def _families(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         & (F.col("x.family") < F.col("y.family"))
         & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
         & (_differing("x.sketch", "y.sketch") * (100 + percent) <= both * (100 - percent)),
-    ).select(F.col("x.member").alias("a"), F.col("y.member").alias("b"))
-    return components(edges.unionByName(crossing))
+    ).select(F.col("x.family").alias("a"), F.col("y.family").alias("b"))
+    # The rest of the graph has families as nodes: a set that is in none is one by itself.
+    merged = components(crossing).checkpoint()
+    if merged.isEmpty():
+        return first
+    every = first.select("node", F.col("component").alias("family")).unionByName(
+        merged.select("node", F.col("node").alias("family")).join(first.select("node"), "node", "left_anti")
+    )
+    joined = every.join(merged.withColumnRenamed("node", "family"), "family", "left")
+    return joined.select("node", F.coalesce("component", "family").alias("component"))
 
 
 class _Family:
