@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from laborscope import operators as op
 from laborscope.catalog.base import labelled, query, table
 from laborscope.functions import round2
+from laborscope.sources import first_rows_in_place
 
 
 @query("""
@@ -93,3 +94,63 @@ def jn4_null_safe(spark, folder):
     counts = op.count_by(rows, "quality", "documents")
     chars = rows.groupBy("quality").agg(F.sum("n_chars").alias("chars"))
     return op.join_null_safe(counts, chars, "quality")
+
+
+# A third of the line items, and a tenth of the suppliers, have one key; others have none.
+HEAVY_SQL = """(
+    SELECT l_orderkey, l_linenumber, l_quantity,
+           CASE WHEN l_orderkey % 3 = 0 THEN 7 WHEN l_linenumber > 5 THEN NULL ELSE l_suppkey END AS supplier
+    FROM lineitem) l"""
+HEAVY_RIGHT_SQL = """(
+    SELECT CASE WHEN s_suppkey % 10 = 7 THEN 7 WHEN s_suppkey % 10 = 8 THEN NULL ELSE s_suppkey END AS supplier, s_name
+    FROM supplier) s"""
+
+
+def _heavy(spark, folder):
+    lines = table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_suppkey")
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).when(F.col("l_linenumber") <= 5, F.col("l_suppkey"))
+    suppliers = table(spark, folder, "supplier", "s_suppkey", "s_name")
+    number = F.col("s_suppkey") % 10
+    other = F.when(number == 7, F.lit(7)).when(number != 8, F.col("s_suppkey"))
+    left = lines.select("l_orderkey", "l_linenumber", "l_quantity", key.cast("bigint").alias("supplier"))
+    return left, suppliers.select(other.cast("bigint").alias("supplier"), "s_name")
+
+
+@query(f"""
+    SELECT s_name, count(*) AS n, CAST(sum(l_quantity * l_linenumber) AS BIGINT) AS total
+    FROM {HEAVY_SQL} JOIN {HEAVY_RIGHT_SQL} ON l.supplier = s.supplier GROUP BY s_name""")
+def jn1_heavy_key(spark, folder):
+    joined = op.join_heavy(*_heavy(spark, folder), "supplier")
+    total = F.sum(F.col("l_quantity") * F.col("l_linenumber")).cast("bigint")
+    return joined.groupBy("s_name").agg(F.count("*").alias("n"), total.alias("total"))
+
+
+@query(f"""
+    SELECT coalesce(s_name, 'none') AS s_name, count(*) AS n, count(l.supplier) AS with_key
+    FROM {HEAVY_SQL} LEFT JOIN {HEAVY_RIGHT_SQL} ON l.supplier = s.supplier GROUP BY 1""")
+def jn2_heavy_left_fill(spark, folder):
+    joined = op.lookup_heavy(*_heavy(spark, folder), "supplier", {"s_name": "none"})
+    return joined.groupBy("s_name").agg(F.count("*").alias("n"), F.count("supplier").alias("with_key"))
+
+
+@query(f"""
+    SELECT s_name, count(*) AS n, count(l.supplier) AS with_key
+    FROM {HEAVY_SQL} JOIN {HEAVY_RIGHT_SQL} ON l.supplier IS NOT DISTINCT FROM s.supplier GROUP BY s_name""")
+def jn4_heavy_null_safe(spark, folder):
+    joined = op.join_heavy_null_safe(*_heavy(spark, folder), "supplier")
+    return joined.groupBy("s_name").agg(F.count("*").alias("n"), F.count("supplier").alias("with_key"))
+
+
+@query("""
+    SELECT user_id, event_id, event_type, props FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1""")
+def dd1_first_rows_in_place(spark, folder):
+    """The wide column is read where it lies."""
+    events = table(spark, folder, "events", "user_id", "event_id", "event_type", "props")
+    return first_rows_in_place(events, "user_id", ["event_id", "event_type", "props"], "event_id")
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY user_id, event_id) AS place FROM events")
+def so5_numbered_rows(spark, folder):
+    events = table(spark, folder, "events", "user_id", "event_id")
+    return op.number_rows(events, ["user_id", "event_id"]).drop("user_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laborscope import operators as op
@@ -87,12 +87,13 @@ def sc3_mixed_line_ends(spark, folder):
     target = work_folder(spark, "csv")
     texts = table(spark, folder, "documents", "doc_id", "text")
     quoted = texts.select("doc_id", F.concat("text", F.lit("\r")).alias("text"))
-    for part, ends in ((quoted, "\n"), (texts, "\r\n")):
+    for part, ends in ((quoted, ""), (texts, "\r")):
         field = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
-        record = F.concat(F.col("doc_id").cast("string"), F.lit(","), F.coalesce(field, F.lit("")))
-        # The header is a line of its own in a file of its own.
-        lines = part.select(F.concat(F.lit(f"doc_id,text{ends[:-1]}\n"), record, F.lit(ends[:-1])).alias("value"))
-        lines.write.mode("append").text(target)
+        record = F.concat(F.col("doc_id").cast("string"), F.lit(","), F.coalesce(field, F.lit("")), F.lit(ends))
+        # The first row of a task, and so of a file, brings the header.
+        first = F.monotonically_increasing_id() % (1 << 33) == 0
+        header = F.when(first, F.lit(f"doc_id,text{ends}\n")).otherwise(F.lit(""))
+        part.select(F.concat(header, record)).write.mode("append").text(target)
     return _texts(read_csv_text(spark, target, multiline=True))
 
 
@@ -144,13 +145,14 @@ def sc7_per_file(spark, folder):
 @query("""
     SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS place FROM documents""")
 def sc7_order_over_many_parts(spark, folder):
-    """Rows of one task, one per file, numbered in source order; the sizes tested give 1,000 files."""
+    """Tasks of over a thousand files each, numbered in source order."""
     target = work_folder(spark, "parts")
-    one_task = table(spark, folder, "documents", "doc_id").coalesce(1).sortWithinPartitions("doc_id")
-    write_parts(one_task, target, 1)
+    ids = table(spark, folder, "documents", "doc_id")
+    tasks = 2
+    per_file = ids.count() // (tasks * 1100) + 1
+    write_parts(ids.repartitionByRange(tasks, "doc_id").sortWithinPartitions("doc_id"), target, per_file)
     scan = read_parquet(spark, target, ["doc_id"], source_order=True)
-    place = F.row_number().over(Window.orderBy(SOURCE_ORDER)).cast("long")
-    return scan.select("doc_id", place.alias("place"))
+    return op.number_rows(scan, SOURCE_ORDER).drop(SOURCE_ORDER)
 
 
 @query("SELECT 'orders' AS name, count(*) AS n FROM orders")

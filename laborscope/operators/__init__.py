@@ -5,6 +5,12 @@ from laborscope.operators.dedup import (  # noqa: F401
     keep_first,
     keep_last,
 )
+from laborscope.operators.heavy import (  # noqa: F401
+    heavy_keys,
+    join_heavy,
+    join_heavy_null_safe,
+    lookup_heavy,
+)
 from laborscope.operators.joins import (  # noqa: F401
     join_null_safe,
     join_on_key,
@@ -24,6 +30,7 @@ from laborscope.operators.ranking import (  # noqa: F401
     count_equal,
     first_rows,
     labelled_ranking,
+    number_rows,
     rank_counts,
     ranking,
     top_k,

@@ -25,13 +25,14 @@ from laborscope.operators import (
     mean_list_size,
     mean_list_size_by,
     ranking,
+    token_ranking,
     top_k,
-    top_tokens,
     treatment_report,
 )
 from laborscope.plans.dataset import KEY, JobDataset
 from laborscope.sources import (
     SOURCE_ORDER,
+    first_rows_in_place,
     preview,
     read_csv_text,
     write_csv,
@@ -136,16 +137,8 @@ def length_by_level(data: JobDataset) -> Report:
 
 def top_skills(data: JobDataset) -> Report:
     """8: the twenty most frequent skills."""
-    result = top_tokens(
-        data.skills(),
-        KEY,
-        "job_skills",
-        SOURCE_ORDER,
-        20,
-        name="habilidad",
-        count="apariciones",
-    )
-    return Report(result)
+    first = first_rows_in_place(data.skills(), KEY, ["job_skills"])
+    return Report(token_ranking(first, "job_skills", "habilidad", "apariciones").limit(20))
 
 
 def company_ranking(data: JobDataset) -> Report:

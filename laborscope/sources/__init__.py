@@ -9,6 +9,7 @@ from laborscope.sources.files import (  # noqa: F401
     read_parquet,
     text_schema,
 )
+from laborscope.sources.in_place import first_rows_in_place  # noqa: F401
 from laborscope.sources.large_csv import read_large_csv  # noqa: F401
 from laborscope.sources.sinks import (  # noqa: F401
     collect_small,

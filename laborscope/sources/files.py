@@ -20,8 +20,11 @@ _NO_NULL_TEXT = "\x01no null text\x01"
 
 SOURCE_ORDER = "source_order"
 
+#: The list of files goes to all tasks up to this size.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 # Names that no scanned column should have.
-_FILE, _WITHIN = "_source_file", "_source_within"
+_FILE, _NUMBER, _WITHIN = "_source_file", "_source_number", "_source_within"
 
 
 def input_files(scan: DataFrame) -> list[str]:
@@ -38,16 +41,18 @@ def input_files(scan: DataFrame) -> list[str]:
 
 
 def file_ordinals(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    """``_source_file, file``: each file's number, as a table whose size Spark knows.
+    """``_source_file, _source_number`` of each file, broadcast up to ``BROADCAST_BYTES`` of paths.
 
-    A path without a host is in it in both spellings, ``file:/a`` and ``file:///a``.
+    A path without a host is in it in both spellings, ``file:/a`` and ``file:///a``. A longer
+    list is joined as Spark sees fit.
     """
     numbers = {}
     for i, f in enumerate(files):
         numbers[f] = numbers[re.sub("^([^:/]+):///", r"\1:/", f)] = i
-    return spark.createDataFrame(
-        pa.table({_FILE: pa.array(numbers.keys(), pa.string()), "file": pa.array(numbers.values(), pa.int64())})
+    table = spark.createDataFrame(
+        pa.table({_FILE: pa.array(numbers.keys(), pa.string()), _NUMBER: pa.array(numbers.values(), pa.int64())})
     )
+    return F.broadcast(table) if sum(len(f) + 32 for f in numbers) <= BROADCAST_BYTES else table
 
 
 def with_position(
@@ -65,9 +70,9 @@ def with_position(
         within.alias(_WITHIN),
     )
     unknown = F.raise_error(F.lit("a file is not in the list of the scan")).cast("bigint")
-    numbered = placed.join(ordinals.withColumnRenamed("file", "_source_number"), _FILE, "left")
+    numbered = placed.join(ordinals, _FILE, "left")
     position = F.struct(
-        F.coalesce(F.col("_source_number"), unknown).alias("file"),
+        F.coalesce(F.col(_NUMBER), unknown).alias("file"),
         *(F.col(f"{_WITHIN}.{c}").alias(c) for c in placed.schema[_WITHIN].dataType.fieldNames()),
     )
     return numbered.select(*(F.col(f"`{n}`") for n in selected), position.alias(SOURCE_ORDER))

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from laborscope.sources.files import (
     _FILE,
+    _NUMBER,
     _NO_NULL_TEXT,
     SOURCE_ORDER,
     csv_reader,
@@ -206,8 +207,8 @@ _FIELDS = "file bigint, block bigint, line bigint, part bigint, text binary"
 def _joined(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``file, block, line, text``: one row per record, told by where it begins."""
     lines = _lines(spark, path)
-    numbers = file_ordinals(spark, input_files(lines)).select(F.xxhash64(_FILE).alias("path"), "file")
-    files = {r["path"]: r["file"] for r in numbers.collect()}
+    numbers = file_ordinals(spark, input_files(lines)).select(F.xxhash64(_FILE).alias("path"), _NUMBER)
+    files = {r["path"]: r[_NUMBER] for r in numbers.collect()}
     kinds = "path bigint, block bigint, outside boolean, inside boolean, ends boolean"
     # One row per block of 128 MB or so.
     owners = _owners(lines.mapInArrow(_automata(), kinds).collect())
