@@ -49,6 +49,7 @@ _UNICODE = re.compile(rb"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 _BYTES = re.compile(rb"(?:\\x[0-9A-Fa-f]{2})+")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
 _BASE64_LINE = re.compile(rb"[A-Za-z0-9+/_-]+={0,2}")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
 _LINE_END = re.compile(rb"\r?\n[ \t]*")
 
 #: Windows have at least so many bytes, and end after a byte that can't be in any match.
@@ -282,6 +283,14 @@ def _escaped_bytes(text: bytes) -> Iterator[tuple[int, int, bytes]]:
                     yield (*m.span(), data)
 
 
+def _compressed_tails(data: bytes) -> Iterator[bytes]:
+    """Compressed data that begins within the data and not at its beginning."""
+    for m in _MAGIC.finditer(data, 1):
+        tail = data[m.start() :]
+        if _decompressed(io.BufferedReader(io.BytesIO(tail))):
+            yield tail
+
+
 def _kinds(data: bytes, seen: set[bytes]) -> set[int]:
     """Kinds found in decoded bytes and all their layers; ``seen`` has the windows that are done."""
     found = set()
@@ -324,7 +333,15 @@ def _layers(text: bytes, windows: set[bytes] | None) -> set[tuple[int, int, int]
             new.append(_replaced(layer, _UNICODE, _unescape_unicode))
         runs = list(_escaped_bytes(layer.text))
         if b"x" * 16 in layer.text.translate(_BASE64_MARKS):
-            runs += [(a, b, inner) for a, b, run in _base64_runs(layer.text) if (inner := _decoded(run))]
+            # What precedes a payload may be of its characters too, so it may begin at each of four places.
+            runs += [
+                (a + i, b, inner)
+                for a, b, run in _base64_runs(layer.text)
+                for i in range(4)
+                if (inner := _decoded(run[i:]))
+            ]
+            # Compressed data may follow bytes that those characters stand for.
+            runs += [(a, b, tail) for a, b, inner in runs for tail in _compressed_tails(inner)]
         for a, b, inner in runs:
             begin, stop = layer.root(a, b)
             if (key := hashlib.sha1(inner).digest() + repr((begin, stop)).encode()) not in seen:

@@ -342,3 +342,14 @@ def test_dictionaries_follow_one_rule():
     a, b = _dictionaries(plain + rude, toxic)
     c, d = _dictionaries(rude + plain, toxic)
     assert len(a) == len(b) and (a, b) == (d, c) and a != b
+
+
+@pytest.mark.parametrize("before", ["x", "x/", "ab+", "-", "x/y_z", "path/to/"])
+def test_base64_after_characters_of_its_own(before):
+    secret = b"AKIA" + b"ABCDEFGH12345678XYZ"
+    inner = base64.b64encode(b"key " + secret + b" end").decode()
+    packed = base64.b64encode(gzip.compress(b"key " + secret + b" end" * 9)).decode()
+    for payload in (inner, packed):
+        text = f"see {before}{payload}, and more".encode()
+        found = [f for f in find_secrets(text) if f.kind == 1]
+        assert found and all(text[f.start : f.end].decode() in before + payload for f in found)
