@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -154,8 +155,31 @@ class _Damaged(Exception):
     pass
 
 
+#: Digest algorithms that can be checked, and the bytes of their digests.
+_DIGESTS = {"sha1": 20, "sha256": 32, "md5": 16}
+
+
+def told_digest(value: str) -> tuple[str, bytes] | None:
+    """Algorithm and bytes of a digest header in hex or base32; None if it is of another kind."""
+    name, _, text = value.partition(":")
+    size = _DIGESTS.get(name.strip().lower().replace("-", ""))
+    text = text.strip()
+    if size is None:
+        return None
+    try:
+        if len(text) == 2 * size:
+            return name.strip().lower().replace("-", ""), bytes.fromhex(text)
+        found = base64.b32decode(text.upper() + "=" * (-len(text) % 8))
+    except ValueError:
+        return None
+    return (name.strip().lower().replace("-", ""), found) if len(found) == size else None
+
+
 def _parse(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers and block of one complete record, or _Damaged."""
+    """Headers and block of one complete record, or _Damaged.
+
+    A response's payload digest is checked if its algorithm and encoding are known.
+    """
     head, found, rest = raw.partition(_END)
     lines = head.split(b"\r\n")
     if not found or not lines[0].startswith(_VERSION):
@@ -169,53 +193,110 @@ def _parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     if length < 0 or len(rest) < length or rest[length : length + 4] != _END:
         raise _Damaged("length")
     block = rest[:length]
-    if headers.get("warc-type") == "response" and "warc-payload-digest" in headers:
-        if digest_of(block.partition(_END)[2]) != headers["warc-payload-digest"]:
+    if headers.get("warc-type") == "response":
+        told = told_digest(headers.get("warc-payload-digest", ""))
+        if told and hashlib.new(told[0], block.partition(_END)[2]).digest() != told[1]:
             raise _Damaged("digest")
     return headers, block
 
 
-class _File:
-    """A window over a file that grows as needed."""
+class _Window:
+    """A window over data that grows as needed; ``more`` gives what follows, nothing at the end."""
+
+    def __init__(self):
+        self.base, self.data = 0, b""
+
+    def more(self, wanted: int) -> bytes:
+        raise NotImplementedError
 
-    def __init__(self, source, size: int):
-        self.source, self.size, self.base, self.data = source, size, 0, b""
+    def seek(self, place: int) -> None:
+        """Go on reading at ``place``."""
+        raise NotImplementedError
 
     def at(self, place: int, count: int) -> bytes:
-        """Up to ``count`` bytes from ``place``; the window may be moved on."""
-        end = min(self.size, place + count)
-        if place < self.base or place > self.base + len(self.data):
-            self.base, self.data = place, b""
-        if end > self.base + len(self.data):
-            self.data = self.data[place - self.base :]
-            self.base = place
-            self.source.seek(place + len(self.data))
-            self.data += self.source.read(max(CHUNK, end - place - len(self.data)))
-        return self.data[place - self.base : end - self.base]
-
-
-def _member(file: _File, place: int) -> tuple[bytes, int]:
-    """The content of the gzip member at ``place`` and where it ends, or _Damaged."""
-    unpacker, out, at = zlib.decompressobj(31), [], place
-    try:
-        while not unpacker.eof:
-            piece = file.at(at, CHUNK)
-            if not piece:
-                raise _Damaged("cut off")
-            out.append(unpacker.decompress(piece))
-            at += len(piece) - len(unpacker.unused_data)
-    except zlib.error as error:
-        raise _Damaged("member") from error
-    return b"".join(out), at
-
-
-def _plain(file: _File, place: int) -> tuple[bytes, int]:
-    """The uncompressed record at ``place`` and where it ends, or _Damaged."""
+        """Up to ``count`` bytes from ``place``, fewer only at the end; the window may be moved on."""
+        begin = place - self.base
+        if begin < 0 or begin > len(self.data):
+            self.seek(place)
+            self.base, self.data, begin = place, b"", 0
+        if len(self.data) - begin < count:
+            parts = [self.data[begin:]]
+            held = len(parts[0])
+            while held < count and (piece := self.more(count - held)):
+                parts.append(piece)
+                held += len(piece)
+            self.base, self.data, begin = place, b"".join(parts), 0
+        return self.data[begin : begin + count]
+
+
+class _File(_Window):
+    """A file, opened at its beginning."""
+
+    def __init__(self, source):
+        super().__init__()
+        self.source = source
+
+    def seek(self, place: int) -> None:
+        self.source.seek(place)
+
+    def more(self, wanted: int) -> bytes:
+        return self.source.read(max(CHUNK, wanted))
+
+
+def _intact(unpacker, given: bytes, step: int = 256) -> Iterator[bytes]:
+    """What can be unpacked of damaged data, in small steps up to the damage."""
+    for i in range(0, len(given), step):
+        try:
+            yield unpacker.decompress(given[i : i + step])
+        except zlib.error:
+            return
+
+
+class _Member(_Window):
+    """The content of the gzip member at a place of a file, unpacked as it is read."""
+
+    def __init__(self, file: _File, place: int):
+        super().__init__()
+        self.file, self.start, self.read = file, place, place
+        self.unpacker = zlib.decompressobj(31)
+        self.rest = b""
+        #: Why the content ends before the member does.
+        self.problem: str | None = None
+
+    def seek(self, place: int) -> None:
+        raise ValueError("a member is read on only")
+
+    def more(self, wanted: int) -> bytes:
+        while not self.unpacker.eof and not self.problem:
+            given = self.rest or self.file.at(self.read, CHUNK)
+            if not given:
+                self.problem = "cut off"
+                break
+            if not self.rest:
+                self.read += len(given)
+            before = self.unpacker.copy()
+            try:
+                found = self.unpacker.decompress(given, max(CHUNK, wanted))
+            except zlib.error:
+                self.problem = "member"
+                return b"".join(_intact(before, given))
+            self.rest = self.unpacker.unconsumed_tail
+            if self.unpacker.eof:
+                self.read -= len(self.unpacker.unused_data)
+            if found:
+                return found
+        return b""
+
+
+def _plain(window: _Window, place: int) -> tuple[bytes, int]:
+    """The record at ``place`` and where it ends, or _Damaged; headers above 1 MB count as damaged."""
     head, size = b"", 1 << 12
     while _END not in head:
-        if len(head) == file.size - place or size > 1 << 20:
+        if head and len(head) < size // 2 or size > 1 << 21:
+            raise _Damaged("headers")
+        head = window.at(place, size)
+        if not head:
             raise _Damaged("headers")
-        head = file.at(place, size)
         size *= 2
     headers = head[: head.index(_END) + 4]
     if not headers.startswith(_VERSION):
@@ -225,42 +306,102 @@ def _plain(file: _File, place: int) -> tuple[bytes, int]:
         total = len(headers) + int(length[0].split(b":")[1]) + 4
     except (IndexError, ValueError) as error:
         raise _Damaged("headers") from error
-    if total < len(headers) or place + total > file.size:
+    if total < len(headers):
+        raise _Damaged("length")
+    raw = window.at(place, total)
+    if len(raw) < total:
         raise _Damaged("length")
-    return file.at(place, total), place + total
+    return raw, place + total
 
 
-def _next(file: _File, place: int) -> int:
-    """Where the next member or version line begins, from ``place`` on; the end if nowhere."""
-    while place < file.size:
-        window = file.at(place, CHUNK)
-        found = [i for i in (window.find(_MAGIC), window.find(_VERSION)) if i >= 0]
+def _next(window: _Window, place: int, marks: tuple[bytes, ...]) -> int | None:
+    """Where the next of ``marks`` begins, from ``place`` on; None if nowhere."""
+    overlap = max(map(len, marks)) - 1
+    while True:
+        piece = window.at(place, CHUNK)
+        found = [i for i in map(piece.find, marks) if i >= 0]
         if found:
             return place + min(found)
-        if place + len(window) >= file.size:
-            break
-        place += len(window) - len(_VERSION) + 1
-    return file.size
+        if len(piece) < CHUNK:
+            return None
+        place += len(piece) - overlap
 
 
-def salvage(source, size: int) -> Iterator[tuple]:
-    """``start, end, headers, block, problem`` of every record and, with no headers, every gap."""
-    file, place, gap, problem = _File(source, size), 0, None, None
-    while place < size:
+# What is found at a place: records, gaps between them, and the end with what is wrong there.
+_Found = Iterator[tuple[str, int, dict | None, bytes | None, str | None]]
+
+
+def _of_member(file: _File, start: int) -> _Found:
+    """What a gzip member holds, each with how far the file was read for it, at the end that of the member."""
+    member, place = _Member(file, start), 0
+    while member.at(place, 1):
         try:
-            compressed = file.at(place, 3) == _MAGIC
-            raw, end = (_member if compressed else _plain)(file, place)
+            raw, end = _plain(member, place)
             headers, block = _parse(raw)
         except _Damaged as error:
+            yield "gap", member.read, None, None, str(error)
+            following = _next(member, place + 1, (_VERSION,))
+            if following is None:
+                break
+            place = following
+        else:
+            yield "record", member.read, headers, block, None
+            place = end
+    # The rest, so that the member's end and checksum are known.
+    while member.more(CHUNK):
+        pass
+    yield "end", member.read, None, None, member.problem
+
+
+def _of_plain(file: _File, start: int) -> _Found:
+    """The uncompressed record at a place."""
+    try:
+        raw, end = _plain(file, start)
+        headers, block = _parse(raw)
+    except _Damaged as error:
+        yield "end", start, None, None, str(error)
+    else:
+        yield "record", end, headers, block, None
+        yield "end", end, None, None, None
+
+
+def salvage(source, size: int) -> Iterator[tuple]:
+    """``start, end, headers, block, problem`` of every record and, with no headers, every gap.
+
+    Records and gaps of one gzip member have its start, and end where the file was read
+    to for them, the last one at the member's end.
+    """
+    file, start, gap, problem = _File(source), 0, None, None
+    while start < size:
+        held = inner = wrong = None
+        stop, seen = start, False
+        for kind, stop, headers, block, wrong in (
+            _of_member if file.at(start, 3) == _MAGIC else _of_plain
+        )(file, start):
+            if kind == "gap":
+                # Until the next record it is one gap.
+                inner = inner or wrong
+            elif kind == "record":
+                if gap is not None:
+                    yield gap, start, None, None, problem
+                    gap = None
+                if held:
+                    yield held
+                if inner:
+                    yield start, stop, None, None, inner
+                held, inner, seen = (start, stop, headers, block, None), None, True
+        if held:
+            yield held if wrong else (start, stop, *held[2:])
+        if wrong or not seen:
             if gap is None:
-                gap, problem = place, str(error)
-            place = _next(file, place + 1)
-            continue
-        if gap is not None:
-            yield gap, place, None, None, problem
-            gap = None
-        yield place, end, headers, block, None
-        place = end
+                gap, problem = start, wrong or inner or "no record"
+        elif inner:
+            yield start, stop, None, None, inner
+        if wrong or stop <= start:
+            following = _next(file, start + 1, (_MAGIC, _VERSION))
+            start = size if following is None else following
+        else:
+            start = stop
     if gap is not None:
         yield gap, size, None, None, problem
 
@@ -271,7 +412,7 @@ def read_archives(files: DataFrame) -> DataFrame:
     ``path, start, stop, record_type, record_id, uri, refers_to, payload_bytes,
     payload_digest, payload, problem``: a gap has a problem and no type. The
     size and digest are those of the full payload, for a revisit as its headers
-    tell. Records of other types have their block as payload. An empty file has
+    tell, or null if they don't, or tell a digest other than SHA-1. Records of other types have their block as payload. An empty file has
     no rows, and a null path none.
     """
     fields = {
@@ -299,10 +440,10 @@ def read_archives(files: DataFrame) -> DataFrame:
         digest = hashlib.sha1(body).hexdigest()
         if kind == "revisit":
             # Their size and digest are those of the record that they refer to.
-            lengths = [x for x in head.lower().split(b"\r\n") if x.startswith(b"content-length:")]
-            size, payload = int(lengths[0].split(b":")[1]) if lengths else None, None
-            told = headers.get("warc-payload-digest", "").removeprefix("sha1:")
-            digest = base64.b32decode(told).hex() if told else None
+            lengths = re.findall(rb"(?mi)^content-length:[ \t]*([0-9]{1,18})[ \t]*\r?$", head)
+            size, payload = int(lengths[0]) if lengths else None, None
+            told = told_digest(headers.get("warc-payload-digest", ""))
+            digest = told[1].hex() if told and told[0] == "sha1" else None
         elif kind != "response":
             size, payload, digest = len(block), block, hashlib.sha1(block).hexdigest()
         return out | {

@@ -353,3 +353,71 @@ def test_base64_after_characters_of_its_own(before):
         text = f"see {before}{payload}, and more".encode()
         found = [f for f in find_secrets(text) if f.kind == 1]
         assert found and all(text[f.start : f.end].decode() in before + payload for f in found)
+
+
+def read_all(data):
+    return list(salvage(pa.BufferReader(data), len(data)))
+
+
+def pages_of(found):
+    return [h["warc-record-id"] for _, _, h, _, _ in found if h]
+
+
+def test_members_of_many_records():
+    made = [record(f"urn:page:{i}", "http://x", "response", b"body %d " % i * 50) for i in range(6)]
+    names = [f"<urn:page:{i}>" for i in range(6)]
+    two = gzip.compress(made[0] + made[1])
+    data = two + gzip.compress(made[2]) + made[3] + gzip.compress(b"".join(made[4:]))
+    found = read_all(data)
+    assert pages_of(found) == names and not any(p for *_, p in found)
+    assert found[0][0] == found[1][0] == 0 and found[1][1] == len(two) == found[2][0]
+    # A whole archive as one member, over many pieces.
+    many = b"".join(record(f"urn:page:{i}", "http://x", "response", b"%d" % i * 9000) for i in range(400))
+    assert len(pages_of(read_all(gzip.compress(many)))) == 400
+    # Bytes between records of a member, and after them, are gaps.
+    found = read_all(gzip.compress(made[0] + b"junk junk" + made[1] + b"more junk") + made[2])
+    assert pages_of(found) == names[:3] and sum(h is None for _, _, h, _, _ in found) == 2
+    # A member that breaks off keeps the records before; the next one is found.
+    broken = gzip.compress(b"".join(made[:3]) + np.random.default_rng(1).bytes(90_000))
+    for damaged in (broken[:-50_000], broken[:-50_000] + b"\x00" * 50_000):
+        found = read_all(damaged + gzip.compress(made[3]))
+        assert pages_of(found) == names[:4] and any(h is None for _, _, h, _, _ in found)
+    # A member without any record is one gap.
+    found = read_all(gzip.compress(b"nothing here") + made[0])
+    assert [h is None for _, _, h, _, _ in found] == [True, False]
+
+
+def test_digests_of_other_kinds(spark, tmp_path):
+    import hashlib
+
+    body = b"some body " * 30
+    plain = record("urn:page:1", "http://x", "response", body)
+    line = next(x for x in plain.split(b"\r\n") if x.startswith(b"WARC-Payload-Digest"))
+    told = {
+        "sha256:" + hashlib.sha256(body).hexdigest(): True,
+        "sha-256:" + base64.b32encode(hashlib.sha256(body).digest()).decode(): True,
+        "sha1:" + hashlib.sha1(body).hexdigest().upper(): True,
+        "md5:" + hashlib.md5(body).hexdigest(): True,
+        "blake3:abc": True,
+        "sha1:not a digest": True,
+        "sha256:" + hashlib.sha256(b"other").hexdigest(): False,
+        "sha1:" + hashlib.sha1(b"other").hexdigest(): False,
+    }
+    for value, intact in told.items():
+        data = plain.replace(line, b"WARC-Payload-Digest: " + value.encode())
+        assert [h is not None for _, _, h, _, _ in read_all(data)] == [intact], value
+    # Revisits with digests and lengths that can't be read have none.
+    revisit = record("urn:page:2", "http://x", "revisit", body, "urn:page:1")
+    files = []
+    for i, (digest, length) in enumerate([(b"sha256:" + b"ab" * 32, b"300"), (b"sha1:???", b"many"), (b"none", b"1 2")]):
+        data = revisit.replace(line, b"WARC-Payload-Digest: " + digest).replace(b"Content-Length: 300\r\n\r\n", b"Content-Length: " + length + b"\r\n\r\n")
+        head, _, block = data.partition(b"\r\n\r\n")
+        lengths = [x for x in head.split(b"\r\n") if x.startswith(b"Content-Length")]
+        data = data.replace(lengths[0], b"Content-Length: %d" % (len(block) - 4), 1)
+        path = tmp_path / f"{i}.warc"
+        path.write_bytes(data)
+        files.append((f"file://{path}",))
+    rows = read_archives(spark.createDataFrame(files, "path string")).orderBy("path").collect()
+    assert [(r.record_type, r.payload_digest, r.payload_bytes) for r in rows] == [
+        ("revisit", None, 300), ("revisit", None, None), ("revisit", None, None),
+    ]
