@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from laborscope.llm.base import query, table
 from laborscope.llm.words import Words, mixed, randoms, shingles, words
 
-ORDER = 2
+ORDER = 3
 CUTOFF = 2
 FACTOR = 0.4
 BATCH_BYTES = 1 << 23
@@ -189,18 +189,23 @@ def _count_words(source: DataFrame) -> int:
 
 _SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-t AS (SELECT doc_id, p, w[p] AS word, CASE WHEN p > 1 THEN w[p - 1] END AS prev
+t AS (SELECT doc_id, w[p] AS word, CASE WHEN p > 1 THEN w[p - 1] END AS prev, CASE WHEN p > 2 THEN w[p - 2] END AS prev2
       FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
 one AS (SELECT word, count(*) AS n FROM t GROUP BY word),
 two AS (SELECT prev, word, count(*) AS n FROM t WHERE prev IS NOT NULL GROUP BY prev, word),
+three AS (SELECT prev2, prev, word, count(*) AS n FROM t WHERE prev2 IS NOT NULL GROUP BY prev2, prev, word),
 total AS (SELECT count(*) AS n FROM t),
-s AS (SELECT doc_id, t.prev IS NOT NULL AND two.n < 2 AS backed,
-        CASE WHEN t.prev IS NULL THEN ln(one.n / total.n)
-             WHEN two.n >= 2 THEN ln(two.n / before.n)
-             ELSE ln(0.4::DOUBLE * one.n / total.n) END AS v
+s AS (SELECT doc_id, (t.prev2 IS NOT NULL AND three.n < 2) OR (t.prev2 IS NULL AND t.prev IS NOT NULL AND two.n < 2) AS backed,
+        CASE WHEN three.n >= 2 THEN ln(three.n / before2.n)
+             WHEN two.n >= 2 THEN ln(CASE WHEN t.prev2 IS NULL THEN 1 ELSE 0.4::DOUBLE END * two.n / before.n)
+             WHEN t.prev2 IS NOT NULL THEN ln(0.4::DOUBLE * 0.4::DOUBLE * one.n / total.n)
+             WHEN t.prev IS NOT NULL THEN ln(0.4::DOUBLE * one.n / total.n)
+             ELSE ln(one.n / total.n) END AS v
       FROM t JOIN one ON one.word = t.word CROSS JOIN total
       LEFT JOIN two ON two.word = t.word AND two.prev = t.prev
-      LEFT JOIN one AS before ON before.word = t.prev)
+      LEFT JOIN three ON three.word = t.word AND three.prev = t.prev AND three.prev2 = t.prev2
+      LEFT JOIN one AS before ON before.word = t.prev
+      LEFT JOIN two AS before2 ON before2.word = t.prev AND before2.prev = t.prev2)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_backoff, 0) AS n_backoff,
        coalesce(score_micro, 0) AS score_micro
 FROM d LEFT JOIN (SELECT doc_id, count(*) FILTER (backed) AS n_backoff,
