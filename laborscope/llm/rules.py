@@ -36,6 +36,10 @@ MIN_WORDS = 50
 BATCH_BYTES = 1 << 26
 #: Distinct n-grams that a task gathers before it hands them on.
 GATHERED = 2_000_000
+#: Quartiles are taken of bits rounded to so many places: at most 80,000 different values.
+BITS_PLACES = 4
+#: Stands for a null language, which is one by itself.
+_NO_LANGUAGE = "\x01none"
 
 _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", dtype=np.uint8))
 # White space is one byte, a digit any digit; other bytes stay.
@@ -190,25 +194,6 @@ def _rated(counts: DataFrame) -> DataFrame:
     return rated.join(contexts, ["lang", "context"])
 
 
-def kneser_ney(docs: DataFrame, order: int = ORDER) -> list[DataFrame]:
-    """Per order from 1 on: ``lang, gram, n, p, back``, interpolated probabilities.
-
-    ``n`` is as in :func:`counted`; ``back`` is what its context leaves to the order below.
-    """
-    out: list[DataFrame] = []
-    for k, counts in enumerate(counted(docs, order), 1):
-        rated = _rated(counts).withColumn("back", F.col("discount") / F.col("total"))
-        direct = (F.col("n") - F.col("d")) / F.col("total")
-        if k == 1:
-            rated = rated.withColumn("p", direct + F.col("back") / 256)
-        else:
-            lower = out[-1].select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below"))
-            rated = rated.withColumn("suffix", _last(F.col("gram"), k - 1)).join(lower, ["lang", "suffix"])
-            rated = rated.withColumn("p", direct + F.col("back") * F.col("below"))
-        out.append(rated.select("lang", "gram", "n", "p", "back").checkpoint())
-    return out
-
-
 def _tagged(gram, k: int):
     """N-grams of different orders ``k`` as different numbers."""
     return gram + (k << 56)
@@ -305,7 +290,7 @@ def judge(
     """
     chosen = docs.select(
         F.col(f"`{key}`").alias("doc_id"),
-        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("")).alias("lang"),
+        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(_NO_LANGUAGE)).alias("lang"),
         F.col(f"`{text}`").cast("string").alias("text"),
     )
     tables = counted(chosen.select("lang", "text"), order)
@@ -378,7 +363,8 @@ def judge(
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = measured.withColumn("base_failed", failed).checkpoint()
-    quartiles = F.percentile_approx("bits", [0.25, 0.75], 10_000)
+    # Exact for values rounded to BITS_PLACES, of which there are few, whatever the order of the rows.
+    quartiles = F.percentile(F.round("bits", BITS_PLACES), [0.25, 0.75])
     bands = (
         measured.filter(~F.col("base_failed"))
         .groupBy("lang")
@@ -390,7 +376,8 @@ def judge(
         )
     )
     inside = F.coalesce(F.col("bits").between(F.col("low"), F.col("high")), F.lit(False))
-    return measured.join(bands, "lang", "left").withColumn("kept", ~F.col("base_failed") & inside)
+    judged = measured.join(bands, "lang", "left").withColumn("kept", ~F.col("base_failed") & inside)
+    return judged.withColumn("lang", F.when(F.col("lang") != _NO_LANGUAGE, F.col("lang")))
 
 
 @query()

@@ -170,19 +170,71 @@ def test_rules(hard, empty):
     assert judge(empty).collect() == []
 
 
-def test_probabilities_sum_to_one(spark, folder):
-    from laborscope.llm.rules import kneser_ney
-
-    docs = spark.read.parquet(f"{folder}/documents.parquet").select("lang", "text").limit(40)
-    tables = kneser_ney(docs, 3)
-    # Seen continuations of a frequent context, and what it leaves to all others.
-    lower = {(r.lang, r.gram): r.p for r in tables[1].collect()}
-    top = tables[2].groupBy("lang", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("n"))
-    for lang, context, _ in top.orderBy(F.desc("n")).limit(3).collect():
-        own = tables[2].filter((F.col("lang") == lang) & (F.shiftright("gram", 8) == context)).collect()
-        seen = sum(r.p for r in own)
-        rest = own[0].back * (1 - sum(lower[lang, r.gram & 0xFFFF] for r in own))
-        assert abs(seen + rest - 1) < 1e-6
+def expected_bits(texts, order):
+    """Bits per byte of each text by a modified Kneser-Ney model of the others, with the discounts of all."""
+    from collections import Counter, defaultdict
+
+    from laborscope.llm.rules import _FOLD
+
+    folded = [bytes(_FOLD[np.frombuffer(b" " * (order - 1) + t, np.uint8)]) for t in texts]
+    own = [Counter(t[i : i + order] for i in range(len(t) - order + 1)) for t in folded]
+
+    def tables(counts):
+        out = {order: Counter({g: n for g, n in counts.items() if n > 0})}
+        for k in range(order - 1, 0, -1):
+            out[k] = Counter(g[1:] for g in out[k + 1])
+        return out
+
+    every = sum(own, Counter())
+    discounts = {}
+    for k, counts in tables(every).items():
+        n = [sum(c == i for c in counts.values()) for i in range(5)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else None
+        rates = [0.0]
+        for i in (1, 2, 3):
+            value = i - (i + 1) * y * n[i + 1] / n[i] if y is not None and n[i] else 0
+            rates.append(value if 0 < value < i else 0.5 * i)
+        discounts[k] = rates
+    out = []
+    for t, mine in zip(folded, own):
+        left = tables(every - mine)
+        sums = {}
+        for k, counts in left.items():
+            sums[k] = defaultdict(lambda: [0, 0.0])
+            for g, n in counts.items():
+                sums[k][g[:-1]][0] += n
+                sums[k][g[:-1]][1] += discounts[k][min(n, 3)]
+
+        def p(g):
+            if not g:
+                return 1 / 256
+            total, discount = sums[len(g)][g[:-1]]
+            if not total:
+                return p(g[1:])
+            n = left[len(g)][g]
+            return (n - discounts[len(g)][min(n, 3)]) / total + discount / total * p(g[1:])
+
+        grams = [t[i : i + order] for i in range(len(t) - order + 1)]
+        out.append(-sum(np.log2(p(g)) for g in grams) / len(grams) if grams else None)
+    return out
+
+
+def test_bits_without_a_texts_own_counts(spark):
+    random = np.random.default_rng(3)
+    texts = [" ".join(random.choice(PROSE, random.integers(1, 25))) for _ in range(40)]
+    texts += ["", "a", "a", "12 34\n56\t7", "só é\u00e3o", "#" * 30, texts[0], texts[0] + " more", "xyz xyz qq", "the"]
+    rows = [(i, t, None if i % 5 == 0 else "en" if i % 5 < 4 else "") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    for order in (2, 5):
+        # Batches of a few texts, and one of all.
+        for size in (200, 1 << 26):
+            found = {r.doc_id: (r.lang, r.bits) for r in judge(docs, order=order, batch_bytes=size).collect()}
+            for lang in (None, "", "en"):
+                own = [(i, t.encode()) for i, t, x in rows if x == lang]
+                for (i, _), wanted in zip(own, expected_bits([t for _, t in own], order)):
+                    assert found[i][0] == lang
+                    assert (found[i][1] is None) == (wanted is None)
+                    assert wanted is None or abs(found[i][1] - wanted) < 1e-9
 
 
 def archive(*payloads):
