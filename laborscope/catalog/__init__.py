@@ -10,6 +10,7 @@ from laborscope.catalog import (  # noqa: F401
     functions,
     jobs,
     keys,
+    missing,
     reports,
     sources,
     streams,

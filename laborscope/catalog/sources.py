@@ -14,6 +14,7 @@ from laborscope.sources import (
     SOURCE_ORDER,
     collect_small,
     csv_to_parquet,
+    head_and_count,
     per_file,
     read_complete_parquet,
     read_csv_text,
@@ -195,6 +196,17 @@ def sk4_csv_to_parquet(spark, folder):
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def sk6_collect_small(spark, folder):
+    """What came to the driver."""
     counts = op.count_by(table(spark, folder, "events", "event_type"), "event_type")
-    collect_small(counts)  # fails if they were many; the result itself stays in Spark
-    return counts
+    return spark.createDataFrame(collect_small(counts), counts.schema)
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS total
+    FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 20""")
+def sk5_preview(spark, folder):
+    """The first rows with the number of all."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
+    finished = orders.filter("o_orderstatus = 'F'").orderBy("o_orderkey").drop("o_orderstatus")
+    first, total = head_and_count(finished, 20)
+    return spark.createDataFrame(first, finished.schema).withColumn("total", F.lit(total).cast("bigint"))

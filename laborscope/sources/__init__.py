@@ -13,6 +13,7 @@ from laborscope.sources.in_place import first_rows_in_place  # noqa: F401
 from laborscope.sources.large_csv import read_large_csv  # noqa: F401
 from laborscope.sources.sinks import (  # noqa: F401
     collect_small,
+    head_and_count,
     preview,
     sample_json,
     write_csv,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from laborscope.operators.dedup import Keys
@@ -48,10 +48,27 @@ def write_sample_json(
     sample_json(df, order, n, drop).coalesce(1).write.text(path)
 
 
+def head_and_count(df: DataFrame, n: int = 20) -> tuple[list[Row], int]:
+    """The first ``n`` rows and the number of all, from one run over the input.
+
+    Every task keeps its first ``n`` rows while it counts, so ``n`` rows come to the driver.
+    """
+    counted = Observation()
+    observed = df.observe(counted, F.count("*").alias("rows"))
+    at = F.monotonically_increasing_id()
+    numbered = observed.select(at.alias("_at"), F.struct("*").alias("_row"))
+    first = [r["_row"] for r in numbered.orderBy("_at").limit(n + 1).collect()]
+    total = len(first) if len(first) <= n else counted.get["rows"]
+    if total == 2 * len(first):
+        # Spark knew that there are no more rows and sorted them all, which reads them twice to draw ranges.
+        total = df.count()
+    return first[:n], total
+
+
 def preview(df: DataFrame, n: int = 20) -> int:
     """Show the first rows and return the number of rows."""
-    df.show(n, truncate=False)
-    rows = df.count()
+    first, rows = head_and_count(df, n)
+    df.sparkSession.createDataFrame(first, df.schema).show(n, truncate=False)
     print(f"rows: {rows}")
     return rows
 
