@@ -56,7 +56,5 @@ def read_csv_text(
     if not source_order:
         return scan.select(*(c.alias(n) for n, c in selected.items()))
     # Rows of one block are read in order by one task.
-    within = F.struct(
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
-    )
+    within = {"block": F.col("_metadata.file_block_start"), "row": F.monotonically_increasing_id()}
     return with_position(scan, selected, within)

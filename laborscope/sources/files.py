@@ -33,9 +33,10 @@ def input_files(scan: DataFrame) -> list[str]:
     joined = scan.sparkSession._jvm.org.apache.hadoop.util.StringUtils.join("\n", scan._jdf.inputFiles())
     files = [f for f in joined.split("\n") if f]
 
-    def place(path: str) -> tuple:
-        parts = re.split("([0-9]+)", path)
-        return [int(x) if i % 2 else x for i, x in enumerate(parts)], path
+    def place(path: str) -> list[tuple]:
+        # Folder by folder: one name with its numbers, then as it is, before the next.
+        names = [(re.split("([0-9]+)", name), name) for name in path.split("/")]
+        return [([int(x) if i % 2 else x for i, x in enumerate(parts)], name) for parts, name in names]
 
     return sorted(files, key=place)
 
@@ -56,9 +57,9 @@ def file_ordinals(spark: SparkSession, files: Sequence[str]) -> DataFrame:
 
 
 def with_position(
-    scan: DataFrame, selected: dict[str, Column], within: Column, ordinals: DataFrame | None = None
+    scan: DataFrame, selected: dict[str, Column], within: dict[str, Column], ordinals: DataFrame | None = None
 ) -> DataFrame:
-    """``selected`` columns of a scan and ``source_order``: the file's number and ``within``, a struct.
+    """``selected`` columns of a scan and ``source_order``: the file's number, and ``within`` it.
 
     The numbers are looked up by path, so no path is taken apart or compared per row.
     """
@@ -67,14 +68,13 @@ def with_position(
     placed = scan.select(
         *(c.alias(n) for n, c in selected.items()),
         F.col("_metadata.file_path").alias(_FILE),
-        within.alias(_WITHIN),
+        *(c.alias(f"{_WITHIN}_{n}") for n, c in within.items()),
     )
     unknown = F.raise_error(F.lit("a file is not in the list of the scan")).cast("bigint")
-    numbered = placed.join(ordinals, _FILE, "left")
     position = F.struct(
-        F.coalesce(F.col(_NUMBER), unknown).alias("file"),
-        *(F.col(f"{_WITHIN}.{c}").alias(c) for c in placed.schema[_WITHIN].dataType.fieldNames()),
+        F.coalesce(F.col(_NUMBER), unknown).alias("file"), *(F.col(f"{_WITHIN}_{n}").alias(n) for n in within)
     )
+    numbered = placed.join(ordinals, _FILE, "left")
     return numbered.select(*(F.col(f"`{n}`") for n in selected), position.alias(SOURCE_ORDER))
 
 
@@ -117,7 +117,7 @@ def project(
     selected = {c: F.col(f"`{c}`") for c in columns or scan.columns}
     if not source_order:
         return scan.select(*selected.values())
-    return with_position(scan, selected, F.struct(F.col("_metadata.row_index").alias("row")), ordinals)
+    return with_position(scan, selected, {"row": F.col("_metadata.row_index")}, ordinals)
 
 
 def read_parquet(
