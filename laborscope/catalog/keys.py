@@ -120,9 +120,9 @@ def _heavy(spark, folder):
     SELECT s_name, count(*) AS n, CAST(sum(l_quantity * l_linenumber) AS BIGINT) AS total
     FROM {HEAVY_SQL} JOIN {HEAVY_RIGHT_SQL} ON l.supplier = s.supplier GROUP BY s_name""")
 def jn1_heavy_key(spark, folder):
-    joined = op.join_heavy(*_heavy(spark, folder), "supplier")
-    total = F.sum(F.col("l_quantity") * F.col("l_linenumber")).cast("bigint")
-    return joined.groupBy("s_name").agg(F.count("*").alias("n"), total.alias("total"))
+    total = F.sum(F.col("l_quantity") * F.col("l_linenumber"))
+    joined = op.join_heavy(*_heavy(spark, folder), "supplier", sums={"n": F.count("*"), "total": total})
+    return joined.groupBy("s_name").agg(F.sum("n").alias("n"), F.sum("total").cast("bigint").alias("total"))
 
 
 @query(f"""

@@ -72,6 +72,29 @@ def test_heavy_keys_spread_over_tasks(sides, plain_settings):
     assert heavy_keys(left.filter("id % 3 = 1").limit(500), ["k"]).collect() == []
 
 
+def test_heavy_key_on_both_sides_adds_up(spark, plain_settings):
+    """A product of 2,000 by 3,000 rows, of which the join makes at most a row per piece and right row."""
+    key = F.when(F.col("id") % 5 == 0, F.lit(7)).when(F.col("id") % 5 > 1, F.col("id"))
+    left = spark.range(10_000).select(key.alias("k"), (F.col("id") % 4).alias("x"))
+    right = spark.range(5_000).select(
+        F.when(F.col("id") < 3_000, F.lit(7)).when(F.col("id") % 10 != 8, F.col("id")).alias("k"),
+        (F.col("id") % 7).alias("name"),
+    )
+    sums = {"n": F.count("*"), "with_key": F.count("k"), "total": F.sum("x")}
+    plain = [F.count("*").alias("n"), F.count("k").alias("with_key"), F.sum("x").alias("total")]
+    added = [F.sum(n).alias(n) for n in sums]
+    for how in ("inner", "left"):
+        for heavy, wanted in (
+            (join_heavy(left, right, "k", how, sums=sums), left.join(right, "k", how)),
+            (join_heavy_null_safe(left, right, "k", how, sums=sums), join_null_safe(left, right, "k", how)),
+        ):
+            assert rows(heavy.groupBy("name").agg(*added)) == rows(wanted.groupBy("name").agg(*plain))
+    filled = lookup_heavy(left, right, "k", {"name": -1}, sums=sums)
+    assert rows(filled.groupBy("name").agg(*added)) == rows(lookup(left, right, "k", {"name": -1}).groupBy("name").agg(*plain))
+    assert join_heavy(left, right, "k", sums=sums).count() <= 64 * 5_000
+    assert filled.filter("k is null").count() <= 64
+
+
 def test_keys_at_the_threshold(spark):
     left = spark.range(600).select((F.col("id") % 200).alias("k"))
     assert heavy_keys(left, ["k"]).count() == 200
