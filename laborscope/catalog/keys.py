@@ -134,8 +134,8 @@ def jn1_heavy_key(spark, folder):
     SELECT coalesce(s_name, 'none') AS s_name, count(*) AS n, count(l.supplier) AS with_key
     FROM {HEAVY_SQL} LEFT JOIN {HEAVY_RIGHT_SQL} ON l.supplier = s.supplier GROUP BY 1""")
 def jn2_heavy_left_fill(spark, folder):
-    joined = op.lookup_heavy(*_heavy(spark, folder), "supplier", {"s_name": "none"})
-    return joined.groupBy("s_name").agg(F.count("*").alias("n"), F.count("supplier").alias("with_key"))
+    joined = op.lookup_heavy(*_heavy(spark, folder), "supplier", {"s_name": "none"}, sums=_counts())
+    return joined.groupBy("s_name").agg(F.sum("n").alias("n"), F.sum("with_key").alias("with_key"))
 
 
 @query(f"""
