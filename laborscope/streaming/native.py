@@ -17,7 +17,7 @@ from laborscope.operators.ranking import count_by
 from laborscope.operators.textstats import tokens
 from laborscope.sources import storage
 from laborscope.sources.files import SOURCE_ORDER
-from laborscope.streaming.state import run_batches
+from laborscope.streaming.state import run_batches, small_state
 from laborscope.streaming.versions import Versions, latest_per_key
 
 # Sub-keys a repeated key is first deduplicated under.
@@ -140,7 +140,8 @@ def run_append(stream: DataFrame, folder: str) -> DataFrame:
 def run_complete(stream: DataFrame, folder: str) -> DataFrame:
     """Process what is available in complete mode and return the last full result.
 
-    Every batch writes all rows: for small results, such as a handful of groups.
+    Every batch writes all rows: for small results, such as a handful of groups. A new
+    query keeps them in at most ``SMALL_STATE`` partitions, whatever the session's number.
     """
     latest: list[int] = []
 
@@ -148,15 +149,16 @@ def run_complete(stream: DataFrame, folder: str) -> DataFrame:
         result.write.mode("overwrite").parquet(f"{folder}/data/batch={batch_id}")
         latest[:] = [batch_id]
 
-    (
-        stream.writeStream.outputMode("complete")
-        .foreachBatch(save)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
     spark = stream.sparkSession
+    with small_state(spark):
+        query = (
+            stream.writeStream.outputMode("complete")
+            .foreachBatch(save)
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+    query.awaitTermination()
     if not latest and not storage.exists(spark, f"{folder}/data"):
         return spark.createDataFrame([], stream.schema)
     batches = spark.read.parquet(f"{folder}/data")

@@ -22,6 +22,22 @@ _STATE_STORE = {
 }
 
 
+# State partitions of a handful of groups: each is a task in every batch, and reports to the driver.
+SMALL_STATE = 4
+
+
+@contextmanager
+def small_state(spark: SparkSession) -> Iterator[None]:
+    """At most ``SMALL_STATE`` state partitions for queries that start inside; a query that goes on keeps its own."""
+    name = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(name)
+    spark.conf.set(name, min(SMALL_STATE, int(old)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 @contextmanager
 def _settings(spark: SparkSession) -> Iterator[None]:
     """State store settings for queries that start inside, unless the session has its own."""

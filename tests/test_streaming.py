@@ -3,6 +3,7 @@
 import glob
 import os
 import re
+from collections import Counter
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -250,3 +251,18 @@ def test_no_files_yet(spark, tmp_path, values):
     assert values(incremental_token_counts(stream, "k", "t", "n", work_folder(spark, "s"))) == []
     counts = stream_token_counts(stream_parquet(spark, empty, schema), "k", "t")
     assert values(run_complete(counts, work_folder(spark, "s"))) == []
+
+
+def test_complete_results_keep_few_state_partitions(spark, arriving, tmp_path, values):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        stream = stream_parquet(spark, arriving, files_per_trigger=1)
+        counts = run_complete(stream.groupBy("k").count(), str(tmp_path / "few"))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
+        # Every state partition is a task in every batch, and its report goes to the driver.
+        assert len([n for n in os.listdir(tmp_path / "few/checkpoint/state/0") if n.isdigit()]) == 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    expected = Counter(k for k, _ in ROWS)
+    assert dict(values(counts, "k", "count")) == expected
