@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from laborscope.catalog import QUERIES
+from laborscope.catalog import QUERIES, sources
 from laborscope.operators import (
     first_by_key,
     keep_first,
@@ -124,6 +124,20 @@ def test_split_csv_shuffles_only_what_crosses_a_border(spark, folder, tmp_path,
     assert text.count("MapInArrow") == 2 and below.count("MapInArrow") == 1
 
 
+def test_parts_are_written_by_every_task(spark, tmp_path, monkeypatch):
+    """No part goes through one task, and its files add up."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws(", ", F.lit("a"), F.col("id")).alias("text"))
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(sources, "work_folder", lambda spark, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4096)
+    try:
+        got = sorted(tuple(r) for r in QUERIES["sc7_per_file"](spark, str(tmp_path)).select("part", "rows", "items").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [(i, 50, 100) for i in range(8)]
+    assert len(list((tmp_path / "parts" / "part=0").glob("*.parquet"))) > 1
+
+
 #: Reading a split CSV file needs the order of its lines.
 IN_ARROW = {"sc3_multiline_csv_split", "sc3_mixed_line_ends"}
 
