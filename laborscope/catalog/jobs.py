@@ -2,7 +2,8 @@
 
 Line items stand for postings (repeated per order), documents and conversations
 for skills, and documents, conversations and pages for summaries. The tables
-are written once per application, sorted, and then read in source order.
+are written once per application, the rows of a link sorted in one file, and then
+read in source order.
 """
 
 from __future__ import annotations
@@ -13,10 +14,13 @@ from pyspark.sql import functions as F
 from laborscope.catalog.base import WS, query, table
 from laborscope.plans import QUERIES as REPORTS
 from laborscope.plans import JobDataset, labelled_postings, skills_by_type
-from laborscope.sources import work_folder
+from laborscope.sources import total_bytes, work_folder
 
 POSTING_COLUMNS = ["job_link", "job_title", "company", "search_country", "job_level", "job_type"]
 
+#: Suppliers go to all tasks up to this size of their file.
+SUPPLIER_BYTES = 16 * 1024 * 1024
+
 # A posting without a return flag 'A' or 'R' has no company, and some levels
 # are null or blank.
 POSTINGS_SQL = """(
@@ -58,11 +62,16 @@ def _postings(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders", "o_orderkey", "o_orderpriority")
     suppliers = table(spark, folder, "supplier", "s_suppkey", "s_name", "s_nationkey")
     nations = table(spark, folder, "nation", "n_nationkey", "n_name")
+    places = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).drop("s_nationkey", "n_nationkey")
+    same_place = F.col("l_suppkey") == F.col("s_suppkey")
+    # Line items are shuffled once: the join, the order of the lines and their file share this partitioning.
+    # Names are added behind it, or before it if there are too many suppliers to broadcast.
+    late = total_bytes(spark, f"{folder}/supplier.parquet") <= SUPPLIER_BYTES
+    rows = (lines if late else lines.join(places, same_place)).repartition("l_orderkey")
+    rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .orderBy(*order)
+        (rows.join(F.broadcast(places), same_place) if late else rows)
+        .sortWithinPartitions(*order)
         .select(
             _link("l_orderkey"),
             F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("job_title"),

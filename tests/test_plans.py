@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from laborscope.catalog import QUERIES, sources
+from laborscope.catalog import QUERIES, jobs, sources
 from laborscope.operators import (
     first_by_key,
     keep_first,
@@ -124,6 +124,34 @@ def test_split_csv_shuffles_only_what_crosses_a_border(spark, folder, tmp_path,
     assert text.count("MapInArrow") == 2 and below.count("MapInArrow") == 1
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_postings_are_shuffled_once(spark, tmp_path, monkeypatch, no_broadcast, limit):
+    """Line items meet their orders, and are sorted, in one partitioning; names come late or early."""
+    made = {
+        "lineitem": "SELECT id % 50 AS l_orderkey, CAST(id % 7 AS INT) AS l_linenumber, id AS l_partkey, id % 5 AS l_suppkey,"
+        " timestamp'2020-01-01' AS l_shipdate, 'A' AS l_returnflag FROM range(1000)",
+        "orders": "SELECT id AS o_orderkey, '1-URGENT' AS o_orderpriority FROM range(50)",
+        "supplier": "SELECT id AS s_suppkey, concat('s', id) AS s_name, CAST(0 AS INT) AS s_nationkey FROM range(5)",
+        "nation": "SELECT 0 AS n_nationkey, 'x' AS n_name",
+    }
+    for name, sql in made.items():
+        spark.sql(sql).repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(jobs, "SUPPLIER_BYTES", limit)
+    postings = jobs._postings(spark, str(tmp_path))
+    text = plan(postings)
+    assert "rangepartitioning" not in text
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1 and "REPARTITION_BY_COL" in text
+    postings.write.parquet(str(tmp_path / "out"))
+    got = read_parquet(spark, str(tmp_path / "out"), source_order=True).orderBy(SOURCE_ORDER).collect()
+    assert len(got) == 1000
+    files, lines = {}, {}
+    for r in got:
+        files.setdefault(r.job_link, set()).add(r[SOURCE_ORDER].file)
+        lines.setdefault(r.job_link, []).append(int(r.job_title.split()[1]))
+    assert all(len(f) == 1 for f in files.values())
+    assert all(x == sorted(x) for x in lines.values())
+
+
 def test_parts_are_written_by_every_task(spark, tmp_path, monkeypatch):
     """No part goes through one task, and its files add up."""
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws(", ", F.lit("a"), F.col("id")).alias("text"))
