@@ -210,6 +210,10 @@ class Perplexity:
         self.grams, self.n, self.total, self.discount = grams, n, total, discount
         # No count, no discount.
         self.discounts = np.column_stack([np.zeros(len(discounts)), discounts])
+        # Where the n-gram without its first byte is; nothing is below a single byte.
+        k = grams >> 56
+        suffix = _tagged(grams & ((1 << (8 * (k - 1))) - 1), k - 1)
+        self.below = np.searchsorted(grams, suffix)
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Bits per byte of each text by the counts of all others; NaN for one without bytes."""
@@ -221,11 +225,12 @@ class Perplexity:
         if not len(gram):
             return np.full(len(texts), np.nan)
         # The distinct n-grams of each text, and how much of their counts is its own.
-        pairs, place, own = np.unique((row << (8 * order)) | gram, return_inverse=True, return_counts=True)
+        pairs, own = np.unique((row << (8 * order)) | gram, return_counts=True)
+        times, text = own, pairs >> (8 * order)
+        at = np.searchsorted(self.grams, _tagged(pairs & ((1 << (8 * order)) - 1), order))
         steps = []
         for k in range(order, 0, -1):
             mask = (1 << (8 * k)) - 1
-            at = np.searchsorted(self.grams, _tagged(pairs & mask, k))
             n = self.n[at]
             left = n - own
             rate = self.discounts[k - 1]
@@ -245,13 +250,16 @@ class Perplexity:
             lower = ((pairs >> (8 * k)) << (8 * (k - 1))) | (pairs & (mask >> 8))
             pairs, below = np.unique(lower, return_inverse=True)
             steps.append((direct, back, below))
+            lower_at = np.empty(len(pairs), dtype=np.int64)
+            lower_at[below] = self.below[at]
+            at = lower_at
             own = np.bincount(below, gone, minlength=len(pairs)).astype(np.int64)
         p = np.full(len(pairs), 1 / 256)
         for direct, back, below in reversed(steps):
             p = direct + back * p[below]
         count = np.bincount(row, minlength=len(texts))
         with np.errstate(invalid="ignore", divide="ignore"):
-            return -np.bincount(row, np.log2(p)[place], minlength=len(texts)) / count
+            return -np.bincount(text, times * np.log2(p), minlength=len(texts)) / count
 
 
 def _packed(docs: DataFrame) -> DataFrame:
