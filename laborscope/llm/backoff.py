@@ -6,19 +6,23 @@ Texts are dealt to batches of about ``BATCH_BYTES``. Each batch explodes its
 texts to n-grams, counts them, and sends every distinct one to the partition of
 its hash, which holds that part of the count tables. The counts come back to
 the batch, where they are joined to its n-grams and summed per text. The texts
-are shuffled once, and both steps read that shuffle.
+are shuffled once, compressed, and both steps read that shuffle. Hashes travel in
+order, as the steps from one to the next.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborscope.llm.base import query, table
+from laborscope.llm.rules import _packed
 from laborscope.llm.words import Words, mixed, randoms, shingles, words
 
 ORDER = 3
@@ -43,24 +47,48 @@ def _ngrams(w: Words, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _distinct(grams: list[tuple[np.ndarray, np.ndarray]], parts: int) -> tuple[np.ndarray, ...]:
-    """Distinct hashes by part and value, their counts, and where each part begins."""
-    hashes, count = np.unique(np.concatenate([h[ok] for h, ok in grams]), return_counts=True)
-    part = hashes % np.uint64(parts)
-    order = np.argsort(part, kind="stable")
-    return hashes[order], count[order], np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+def _distinct(grams: list[tuple[np.ndarray, np.ndarray]], starts: np.ndarray, **also) -> tuple[np.ndarray, ...]:
+    """Distinct hashes in order, what :func:`numpy.unique` returns ``also``, and where each part begins."""
+    hashes, other = np.unique(np.concatenate([h[ok] for h, ok in grams]), **also)
+    return hashes, other, np.append(np.searchsorted(hashes, starts), len(hashes))
+
+
+@functools.cache
+def _zstandard() -> tuple:
+    return zstandard.ZstdCompressor(level=1, write_checksum=False).compress, zstandard.ZstdDecompressor().decompress
 
 
 def _texts(part: pa.Table) -> list[bytes]:
-    return [x or b"" for x in part.column("text").cast(pa.binary()).to_pylist()]
+    unpack = _zstandard()[1]
+    return [unpack(x) for x in part.column("text").to_pylist()]
 
 
 def _small(values: np.ndarray) -> bytes:
-    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+    return _zstandard()[0](values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes())
 
 
 def _values(packed: bytes, count: int) -> np.ndarray:
-    return np.frombuffer(packed, dtype=f"u{len(packed) // max(1, count) or 1}").astype(np.int64)
+    raw = _zstandard()[1](packed)
+    return np.frombuffer(raw, dtype=f"u{len(raw) // max(1, count) or 1}").astype(np.int64)
+
+
+#: Low bytes of the steps between sorted hashes, which don't compress; the others are small.
+_RAW = 5
+
+
+def _steps(hashes: np.ndarray, start: np.uint64) -> bytes:
+    """Sorted hashes of a part as steps from one to the next, byte by byte."""
+    steps = np.diff(hashes, prepend=start).astype("<u8")
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)
+    return planes[:_RAW].tobytes() + _zstandard()[0](planes[_RAW:].tobytes())
+
+
+def _unstepped(packed: bytes, count: int, start: np.uint64) -> np.ndarray:
+    planes = np.empty((8, count), dtype=np.uint8)
+    planes[:_RAW] = np.frombuffer(packed, np.uint8, _RAW * count).reshape(_RAW, count)
+    planes[_RAW:] = np.frombuffer(_zstandard()[1](packed[_RAW * count :]), np.uint8).reshape(8 - _RAW, count)
+    steps = np.ascontiguousarray(planes.T).view("<u8").ravel().astype(np.uint64)
+    return np.cumsum(steps, dtype=np.uint64) + start
 
 
 def backoff_scores(
@@ -86,17 +114,20 @@ def backoff_scores(
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     batches, parts = int(size // batch_bytes) + 1, int(size // table_bytes) + 1
     batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int")
-    dealt = source.withColumn("batch", batch).repartition(batches, "batch")
+    dealt = _packed(source.withColumn("batch", batch)).repartition(batches, "batch")
+    # A part of the count tables is a range of hashes, so sorted hashes are sorted by part.
+    starts = np.array([(i << 64) // parts for i in range(parts)], dtype=np.uint64)
     key_type = dict(source.dtypes)["doc_id"]
 
     def explode(own: pa.Table) -> pa.Table:
-        hashes, count, first = _distinct(_ngrams(words(_texts(own)), order), parts)
+        hashes, count, first = _distinct(_ngrams(words(_texts(own)), order), starts, return_counts=True)
         at = np.flatnonzero(np.diff(first))
         return pa.table(
             {
                 "batch": pa.array([own.column("batch")[0].as_py()] * len(at), pa.int32()),
                 "part": pa.array(at, pa.int32()),
-                "hashes": pa.array([hashes[first[i] : first[i + 1]].tobytes() for i in at], pa.binary()),
+                "n": pa.array(np.diff(first)[at], pa.int32()),
+                "hashes": pa.array([_steps(hashes[first[i] : first[i + 1]], starts[i]) for i in at], pa.binary()),
                 "counts": pa.array([_small(count[first[i] : first[i + 1]]) for i in at], pa.binary()),
             }
         )
@@ -114,8 +145,8 @@ def backoff_scores(
             yield answer(gathered)
 
     def answer(gathered: list[tuple]) -> pa.RecordBatch:
-        hashes = [np.frombuffer(r[2], np.uint64) for r in gathered]
-        counts = [_values(r[3], len(h)) for r, h in zip(gathered, hashes)]
+        hashes = [_unstepped(r[3], r[2], starts[r[1]]) for r in gathered]
+        counts = [_values(r[4], r[2]) for r in gathered]
         known, at = np.unique(np.concatenate(hashes), return_inverse=True)
         total = np.bincount(at, np.concatenate(counts), minlength=len(known)).astype(np.int64)[at]
         cut = np.split(total, np.cumsum([len(h) for h in hashes])[:-1])
@@ -133,17 +164,17 @@ def backoff_scores(
     def score(own: pa.Table, answers: pa.Table) -> pa.Table:
         w = words(_texts(own))
         grams = _ngrams(w, order)
-        hashes, _, first = _distinct(grams, parts)
+        hashes, place, first = _distinct(grams, starts, return_inverse=True)
         total = np.zeros(len(hashes), dtype=np.int64)
         for part, packed in zip(answers.column("part").to_pylist(), answers.column("totals").to_pylist()):
             a, b = first[part], first[part + 1]
             total[a:b] = _values(packed, b - a)
-        sort = np.argsort(hashes)
-        counts = []
+        counts, begin = [], 0
         for h, ok in grams:
-            found = np.zeros(len(h), dtype=np.int64)
-            found[ok] = total[sort[np.searchsorted(hashes, h[ok], sorter=sort)]]
+            found, end = np.zeros(len(h), dtype=np.int64), begin + np.count_nonzero(ok)
+            found[ok] = total[place[begin:end]]
             counts.append(found)
+            begin = end
         # The best length for each word, tried from the longest on.
         value = np.zeros(len(w.hashes))
         backed = np.zeros(len(w.hashes), dtype=np.int64)
@@ -171,7 +202,7 @@ def backoff_scores(
             }
         )
 
-    exploded = dealt.groupBy("batch").applyInArrow(explode, "batch int, part int, hashes binary, counts binary")
+    exploded = dealt.groupBy("batch").applyInArrow(explode, "batch int, part int, n int, hashes binary, counts binary")
     answers = (
         exploded.repartition(parts, "part")
         .sortWithinPartitions("part")
