@@ -10,6 +10,8 @@
    their sketches leave it possible (parity bits never exceed the true
    difference), and then their families are merged. So every two sets that can
    be linked end up in one family, and each set belongs to one family only.
+   Lists are compared in tasks, a long one in tasks per pair of blocks; families
+   that the task has merged already are not compared again.
 4. A family's texts meet in one task, or in tasks per pair of blocks if it is
    large. Members are compared by sketch, then exactly, unless a chain of links
    already connects them; at most one link per member is written.
@@ -40,8 +42,15 @@ SKETCHED = 2000
 #: Shingles per bucket of signatures, and per block of a family.
 PER_BUCKET = 1_000_000
 PER_BLOCK = 4_000_000
+#: Signatures of some slices of a task that are packed together.
+PACKED = 1_000_000
 #: Sketches at least this similar, in percent, join two sets of a list to a family.
 FAMILY_PERCENT = 60
+#: Members of a list in one task, or in each of two blocks of a larger list.
+LIST_BLOCK = 4096
+#: Pairs, and words of sketches, that are compared at once.
+PAIRS = 1 << 16
+WORDS = 1 << 18
 
 
 def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,6 +132,7 @@ def signature_lists(docs: DataFrame, key: str, text: str, size: int, percent: in
     ).filter(F.col("doc_id").isNotNull())
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered, many = [], 0
         for part, texts in slices(batches):
             elements, sizes = shingle_sets(texts, size)
             ids = part.column("doc_id").to_numpy()
@@ -136,22 +146,36 @@ def signature_lists(docs: DataFrame, key: str, text: str, size: int, percent: in
             kept = np.repeat(one, sizes)
             ids, elements, sizes = ids[one], elements[kept], sizes[one]
             found, at = signatures(elements, sizes, percent)
-            bucket = (found >> np.uint64(40)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            bucket, found, at = bucket[order], found[order], at[order]
-            cut = np.flatnonzero(np.diff(bucket, prepend=-1.0))
-            numbers, hashes, owners = [], [], []
-            for a, b in zip(cut, [*cut[1:], len(bucket)]):
-                numbers.append(int(bucket[a]))
-                hashes.append(found[a:b].tobytes())
-                # Keys once, then two or four bytes per signature.
-                own, place = np.unique(at[a:b], return_inverse=True)
-                kind = np.uint16 if len(own) < 1 << 16 else np.uint32
-                owners.append(np.int64(len(own)).tobytes() + ids[own].tobytes() + place.astype(kind).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(numbers, pa.int32()), pa.array(hashes, pa.binary()), pa.array(owners, pa.binary())],
-                names=["bucket", "hashes", "owners"],
-            )
+            gathered.append((found, at, ids))
+            many += len(found)
+            # Rows to shuffle are slices times buckets; some slices together make fewer.
+            if many >= PACKED:
+                yield packed_rows(gathered)
+                gathered, many = [], 0
+        if many:
+            yield packed_rows(gathered)
+
+    def packed_rows(gathered: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        before = _bounds(np.array([len(keys) for _, _, keys in gathered]))
+        found = np.concatenate([f for f, _, _ in gathered])
+        at = np.concatenate([(at + n).astype(np.int32) for (_, at, _), n in zip(gathered, before)])
+        ids = np.concatenate([keys for _, _, keys in gathered])
+        bucket = ((found >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        bucket, found, at = bucket[order], found[order], at[order]
+        cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+        numbers, hashes, owners = [], [], []
+        for a, b in zip(cut, [*cut[1:], len(bucket)]):
+            numbers.append(int(bucket[a]))
+            hashes.append(found[a:b].tobytes())
+            # Keys once, then two or four bytes per signature.
+            own, place = np.unique(at[a:b], return_inverse=True)
+            kind = np.uint16 if len(own) < 1 << 16 else np.uint32
+            owners.append(np.int64(len(own)).tobytes() + ids[own].tobytes() + place.astype(kind).tobytes())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(numbers, pa.int32()), pa.array(hashes, pa.binary()), pa.array(owners, pa.binary())],
+            names=["bucket", "hashes", "owners"],
+        )
 
     def lists(parts: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
         found = np.concatenate([np.frombuffer(h, np.uint64) for h, _ in parts])
@@ -232,7 +256,133 @@ def _estimate(bits: Column, width: Column) -> Column:
     return -(most / 2) * F.log(1 - F.least(2 * bits / most, F.lit(0.999)))
 
 
-def _families(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+class _Merged:
+    """Families that a task has merged."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, family: int) -> int:
+        parent = self.parent
+        while (up := parent.get(family, family)) != family:
+            parent[family] = family = parent.get(up, up)
+        return family
+
+    def merge(self, one: int, two: int) -> bool:
+        """Whether they weren't merged before."""
+        one, two = self.root(one), self.root(two)
+        if one != two:
+            self.parent[max(one, two)] = min(one, two)
+        return one != two
+
+
+def _sketch_bits(flat: np.ndarray, first: np.ndarray, width: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Differing parity bits of rows ``one`` and ``two``, as :func:`_differing` counts them."""
+    swap = width[one] > width[two]
+    one, two = np.where(swap, two, one), np.where(swap, one, two)
+    out = np.full(len(one), 2**31 - 1, dtype=np.int64)
+    for w in np.unique(width[one]):
+        step = np.arange(w)
+        for double in (False, True):
+            chosen = np.flatnonzero((width[one] == w) & (width[two] == w * (1 + double)))
+            most = max(1, WORDS // int(w))
+            for at in (chosen[i : i + most] for i in range(0, len(chosen), most)):
+                other = first[two[at], None] + step
+                sketch = flat[other] ^ flat[other + w] if double else flat[other]
+                sketch ^= flat[first[one[at], None] + step]
+                out[at] = np.bitwise_count(sketch).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _possible_merges(part: pa.Table, percent: int, merged: _Merged) -> list[tuple[int, int]]:
+    """Families to merge, for whole lists of rows; those that are merged already are left out."""
+    names = ("list_id", "block_a", "block_b", "own", "family", "n")
+    number, block_a, block_b, own, family, n = (part.column(c).to_numpy() for c in names)
+    sketches = part.column("sketch").combine_chunks()
+    new = np.ones(len(n), dtype=bool)
+    new[1:] = (number[1:] != number[:-1]) | (block_a[1:] != block_a[:-1]) | (block_b[1:] != block_b[:-1])
+    at = np.cumsum(new)
+    order = np.lexsort((n, at))
+    at, n, own, family, across = at[order], n[order], own[order], family[order], (block_a != block_b)[order]
+    width = sketches.value_lengths().to_numpy()[order].astype(np.int64)
+    flat = sketches.flatten().to_numpy().view(np.uint64)
+    first = (np.cumsum(np.append(0, sketches.value_lengths().to_numpy()))[:-1])[order]
+    # Rows of a list follow by size: a row's partners end where sets are too large for it.
+    place = at << 32 | n
+    end = np.searchsorted(place, at << 32 | np.minimum(100 * n // percent, (1 << 32) - 1), side="right")
+    bounds = np.append(0, np.cumsum(end - np.arange(len(n)) - 1))
+    names, family = np.unique(family, return_inverse=True)
+    roots = np.array([merged.root(x) for x in names.tolist()])
+    out, begin = [], 0
+    while begin < len(n):
+        stop = max(begin + 1, int(np.searchsorted(bounds, bounds[begin] + PAIRS, side="right")) - 1)
+        many = np.diff(bounds[begin : stop + 1])
+        one = np.repeat(np.arange(begin, stop), many)
+        two = one + 1 + np.arange(len(one)) - np.repeat(bounds[begin:stop] - bounds[begin], many)
+        begin = stop
+        open_pairs = (roots[family[one]] != roots[family[two]]) & ~(across[one] & (own[one] == own[two]))
+        one, two = one[open_pairs], two[open_pairs]
+        bits = _sketch_bits(flat, first, width, one, two)
+        possible = bits * (100 + percent) <= (n[one] + n[two]) * (100 - percent)
+        pairs = np.column_stack([roots[family[one[possible]]], roots[family[two[possible]]]])
+        found = [(a, b) for a, b in np.unique(pairs, axis=0).tolist() if merged.merge(a, b)]
+        if found:
+            out += found
+            roots = np.array([merged.root(x) for x in names.tolist()])
+    return out
+
+
+def _crossing(members: DataFrame, percent: int, list_block: int) -> DataFrame:
+    """``a, b``: families with members of one list whose sketches may be similar, or a chain of such pairs.
+
+    ``members`` has ``list_id, size, member, family, n, sketch``. A list of more
+    than ``list_block`` members is dealt to tasks by pairs of blocks.
+    """
+    keys = ["list_id", "block_a", "block_b"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merged, waiting = _Merged(), []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # The last list of a batch may go on in the next one.
+            last = np.ones(batch.num_rows, dtype=bool)
+            for c in keys:
+                column = batch.column(c).to_numpy()
+                last &= column == column[-1]
+            cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+            if waiting:
+                goes_on = all(waiting[-1].column(c)[-1] == batch.column(c)[0] for c in keys)
+                if cut or not goes_on:
+                    begun = [batch.slice(0, cut)] if cut else []
+                    yield _pairs(_possible_merges(pa.Table.from_batches(waiting + begun), percent, merged))
+                    waiting = []
+            elif cut:
+                yield _pairs(_possible_merges(pa.Table.from_batches([batch.slice(0, cut)]), percent, merged))
+            waiting.append(batch.slice(cut))
+        if waiting:
+            yield _pairs(_possible_merges(pa.Table.from_batches(waiting), percent, merged))
+
+    blocks = F.ceil(F.col("size") / list_block)
+    dealt = (
+        members.withColumn("own", F.pmod(F.xxhash64("member"), blocks))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+        .select(
+            "list_id",
+            F.least("own", "other").alias("block_a"),
+            F.greatest("own", "other").alias("block_b"),
+            "own",
+            "family",
+            F.col("n").cast("bigint").alias("n"),
+            "sketch",
+        )
+        .repartition(*keys)
+        .sortWithinPartitions(*keys)
+    )
+    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+
+def _families(lists: DataFrame, sets: DataFrame, percent: int, list_block: int) -> DataFrame:
     """``node, component`` of sets that may be linked, directly or by a chain."""
     one, two = sets.alias("one"), sets.alias("two")
     known = (
@@ -262,19 +412,14 @@ def _families(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select("list_id", "member", family.alias("family"))
         .checkpoint()
     )
-    mixed_lists = members.groupBy("list_id").agg(F.min("family").alias("l"), F.max("family").alias("h")).filter("l <> h")
-    open_members = members.join(mixed_lists.select("list_id"), "list_id").join(
+    mixed_lists = members.groupBy("list_id").agg(
+        F.min("family").alias("l"), F.max("family").alias("h"), F.count("*").alias("size")
+    )
+    mixed_lists = mixed_lists.filter("l <> h").select("list_id", "size")
+    open_members = members.join(mixed_lists, "list_id").join(
         sets.select(F.col("rep").alias("member"), "n", "sketch"), "member"
     )
-    one, two = open_members.alias("x"), open_members.alias("y")
-    both = F.col("x.n") + F.col("y.n")
-    crossing = one.join(
-        two,
-        (F.col("x.list_id") == F.col("y.list_id"))
-        & (F.col("x.family") < F.col("y.family"))
-        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-        & (_differing("x.sketch", "y.sketch") * (100 + percent) <= both * (100 - percent)),
-    ).select(F.col("x.family").alias("a"), F.col("y.family").alias("b"))
+    crossing = _crossing(open_members, percent, list_block)
     # The rest of the graph has families as nodes: a set that is in none is one by itself.
     merged = components(crossing).checkpoint()
     if merged.isEmpty():
@@ -370,6 +515,7 @@ def similar_components(
     percent: int = PERCENT,
     per_bucket: int = PER_BUCKET,
     per_block: int = PER_BLOCK,
+    list_block: int = LIST_BLOCK,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id`` per row of ``docs``.
 
@@ -397,7 +543,7 @@ def similar_components(
     lists = lists.join(a, "a").join(b, "b", "left").select(
         "list_id", F.col("rep_a").alias("a"), F.col("rep_b").alias("b")
     )
-    families = _families(lists, sets, percent).checkpoint()
+    families = _families(lists, sets, percent, list_block).checkpoint()
     sized = families.join(sets.select(F.col("rep").alias("node"), "n"), "node")
     blocks = sized.groupBy("component").agg(F.ceil(F.sum("n") / per_block).alias("blocks"))
     own = F.pmod(F.xxhash64("node"), "blocks")

@@ -64,6 +64,106 @@ def test_signatures_are_complete():
                 assert set(found[at == 0]) & set(found[at == 1])
 
 
+def random_sets(random, count, least, most):
+    sizes = random.integers(least, most, count)
+    return random.integers(0, (1 << 64) - 1, int(sizes.sum()), dtype=np.uint64), sizes
+
+
+def test_different_sets_share_no_signatures():
+    # Empty subsets are equal in many sets; a list of them grows with the corpus, its pairs with the square.
+    for percent in (80, 85):
+        elements, sizes = random_sets(np.random.default_rng(7), 4000, 60, 400)
+        found, _ = signatures(elements, sizes, percent)
+        _, counts = np.unique(found, return_counts=True)
+        assert counts.max() < 20 and (counts - 1).sum() < 0.001 * len(found)
+
+
+def test_signatures_of_tiny_and_uneven_sets():
+    random = np.random.default_rng(2)
+    assert [len(x) for x in signatures(np.empty(0, np.uint64), np.array([0, 0]), 80)] == [0, 0]
+    pairs = 0
+    for percent in (50, 80, 85, 90):
+        for i in range(400):
+            a = np.unique(random.integers(0, 1 << 63, random.integers(1, 14 if i % 2 else 300)).astype(np.uint64))
+            more = random.integers(0, 1 << 63, random.integers(0, 1 + len(a) // 6)).astype(np.uint64)
+            b = np.unique(np.concatenate([a[random.random(len(a)) < random.choice([0.8, 0.9, 1])], more]))
+            both = len(np.intersect1d(a, b))
+            if len(b) and 100 * both >= percent * (len(a) + len(b) - both):
+                pairs += 1
+                found, at = signatures(np.concatenate([a, b]), np.array([len(a), len(b)]), percent)
+                assert set(found[at == 0]) & set(found[at == 1])
+    assert pairs > 500
+
+
+def test_families_cross_in_blocks_and_batches(spark):
+    from laborscope.llm import jaccard_join
+
+    random = np.random.default_rng(4)
+    base = [random.integers(0, 1 << 62, 120) for _ in range(6)]
+    rows = []
+    for member in range(300):
+        own = np.array(base[member % 6])
+        changed = random.choice(120, random.integers(0, 12), replace=False)
+        own[changed] = random.integers(0, 1 << 62, len(changed))
+        own = own[: random.integers(96, 121)].astype(np.uint64)
+        # Rows of one list may have sketches of two widths.
+        sketch = jaccard_join._parity(own, np.array([len(own)]), 4 if len(own) < 110 else 8)[0].view(np.int64).tolist()
+        for number in {member % 6, member % 4 + 10, 99}:
+            rows.append((number, member, member // 2, len(own), sketch))
+    sizes = {x: sum(r[0] == x for r in rows) for x in {r[0] for r in rows}}
+    rows = [(r[0], sizes[r[0]], *r[1:]) for r in rows]
+    schema = "list_id bigint, size bigint, member bigint, family bigint, n bigint, sketch array<bigint>"
+    members = spark.createDataFrame(rows, schema)
+    one, two = members.alias("x"), members.alias("y")
+    both = F.col("x.n") + F.col("y.n")
+    every_pair = one.join(
+        two,
+        (F.col("x.list_id") == F.col("y.list_id"))
+        & (F.col("x.family") < F.col("y.family"))
+        & (100 * F.least("x.n", "y.n") >= 80 * F.greatest("x.n", "y.n"))
+        & (jaccard_join._differing("x.sketch", "y.sketch") * 180 <= both * 20),
+    ).select(F.col("x.family").alias("a"), F.col("y.family").alias("b"))
+    wanted = sorted(map(tuple, jaccard_join.components(every_pair).collect()))
+    assert len({c for _, c in wanted}) < len(wanted) > 100
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for rows_of_batch, block in ((10_000, 4096), (10_000, 40), (7, 4096), (7, 40)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_of_batch)
+            found = jaccard_join._crossing(members, 80, block)
+            assert sorted(map(tuple, jaccard_join.components(found).collect())) == wanted
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
+def test_jaccard_by_brute_force(spark):
+    # Near copies at both sides of the limit, in groups and chains, and short texts.
+    random = np.random.default_rng(6)
+    texts = []
+    for size in (6, 9, 14, 40, 130, 400):
+        base = [f"w{x}" for x in random.integers(0, 10_000, size)]
+        for _ in range(25):
+            own = list(base)
+            for i in random.choice(size, random.integers(0, 2 + size // 40), replace=False):
+                own[i] = f"x{random.integers(10_000)}"
+            texts.append(" ".join(own[: size - int(random.integers(0, 2 + size // 30))]))
+    sets = []
+    for text in texts:
+        w = text.split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
+    wanted = list(range(len(texts)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and wanted[i] != wanted[j]:
+                old, new = max(wanted[i], wanted[j]), min(wanted[i], wanted[j])
+                wanted = [new if x == old else x for x in wanted]
+    assert 10 < len(set(wanted)) < len(wanted) - 10
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string")
+    for sizes in ({}, {"list_block": 5, "per_bucket": 2000}):
+        rows = similar_components(docs, shingle=5, percent=80, **sizes).collect()
+        assert [c for _, c in sorted((r.doc_id, r.component_id) for r in rows)] == wanted
+
+
 def test_packing(spark, hard, empty):
     pieces = pack(hard, tokenizer_path(), work_folder(spark, "pack")).collect()
     assert sum(r.length for r in pieces if r.start == 0 and r.doc_id in (1, 2, 3)) == 3
